@@ -183,7 +183,7 @@ def incident_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_of, days = FULL
     rows = incidents(spark, specs, DateSpan.before(as_of, days), as_of, parquet_tables(spark, sf_dir))
     return rows.groupBy("control", "metric", "metric_detail").agg(
-        F.count("*").alias("incident_rows"), F.sum("weight").alias("total_weight")
+        F.sum("hits").alias("incident_rows"), F.sum("weight").alias("total_weight")
     )
 
 

@@ -7,8 +7,10 @@ both sides of a check start from the same rows and differ only in how they count
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 STAND_INS: dict[str, tuple[str, list[str]]] = {
     "control_a02_fx_completeness.output_fx_completeness_snb_control_monthly_data": (
@@ -171,17 +173,17 @@ METADATA: list[tuple[str, str, str, str]] = [
 
 
 def stand_in_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
+    base_table = cache(lambda base: spark.read.parquet(f"{sf_dir}/{base}.parquet"))
+
     def read(name: str) -> DataFrame:
         base, columns = STAND_INS[name]
-        return spark.read.parquet(f"{sf_dir}/{base}.parquet").selectExpr(*columns)
+        return base_table(base).selectExpr(*columns)
 
     return read
 
 
 def stand_in_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata rows whose times are the newest time stamps of the test tables; one scan per table."""
-    from pyspark.sql import functions as F
-
     parts = []
     for base, column in dict.fromkeys((base, column) for _, _, base, column in METADATA):
         names = [F.struct(F.lit(d).alias("dataset_id"), F.lit(t).alias("table_id")) for d, t, b, _ in METADATA if b == base]

@@ -7,6 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallygrid.functions.conditions import all_of
 from tallygrid.spec import CELL
 
 
@@ -41,14 +42,17 @@ def _expected_cells(scaffold: DataFrame, incidents: DataFrame) -> DataFrame:
     first. An expected cell with a NULL detail therefore always counts 0.
     """
     kind = incidents.schema["weight"].dataType
-    found = incidents.select(*CELL, F.lit(False).alias("expected"), "weight").dropna(subset=list(CELL))
-    cells = scaffold.select(*CELL, F.lit(True).alias("expected"), F.lit(0).cast(kind).alias("weight"))
+    keyed = all_of(F.col(key).isNotNull() for key in CELL)
+    found = incidents.where(keyed).select(*CELL, F.lit(False).alias("expected"), "weight", "hits")
+    cells = scaffold.select(
+        *CELL, F.lit(True).alias("expected"), F.lit(0).cast(kind).alias("weight"), F.lit(0).cast("bigint").alias("hits")
+    )
     return (
         cells.unionByName(found)
         .groupBy(*CELL)
         .agg(
             F.bool_or("expected").alias("expected"),
-            F.count_if(~F.col("expected")).alias("hits"),
+            F.sum("hits").alias("hits"),
             F.coalesce(F.sum("weight"), F.lit(0)).alias("control_count"),
         )
         .where("expected")

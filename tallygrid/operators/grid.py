@@ -29,29 +29,26 @@ def source_keys(source: DataFrame, control: str, keys: KeysOf) -> DataFrame:
     Whether a metric is present anywhere comes from a second, global reduction of those rows, used as
     a scalar subquery. Both sides keep the flags, so they share one shuffle of the source.
     """
-    details = source.select(keys.metric_detail.cast("string").alias("metric_detail"), *_flags(keys))
-    gated = [i for i, column in enumerate(keys.metrics.values()) if column is not None]
-    if not gated:
-        details = details.distinct()
-        labels = [F.lit(label) for label in keys.metrics]
+    gated = {label: column.isNotNull() for label, column in keys.metrics.items() if column is not None}
+    flags = {label: f"has_{i}" for i, label in enumerate(gated)}
+    details = source.select(
+        keys.metric_detail.cast("string").alias("metric_detail"), *[gated[m].alias(flag) for m, flag in flags.items()]
+    )
+    if gated:
+        details = details.groupBy("metric_detail").agg(*[F.bool_or(flag).alias(flag) for flag in flags.values()])
+        anywhere = details.agg(F.struct(*[F.bool_or(flag).alias(flag) for flag in flags.values()])).scalar()
+        details = details.withColumn("anywhere", anywhere)
     else:
-        details = details.groupBy("metric_detail").agg(*[F.bool_or(f"has_{i}").alias(f"has_{i}") for i in gated])
-        anywhere = details.agg(F.struct(*[F.bool_or(f"has_{i}").alias(f"has_{i}") for i in gated])).scalar()
-        labels = [
-            F.when(F.col(f"has_{i}") | anywhere[f"has_{i}"], F.lit(label)) if i in gated else F.lit(label)
-            for i, label in enumerate(keys.metrics)
-        ]
+        details = details.distinct()
+    labels = [
+        F.when(F.col(flags[label]) | F.col("anywhere")[flags[label]], F.lit(label)) if label in flags else F.lit(label)
+        for label in keys.metrics
+    ]
     return details.select(
         F.lit(control).alias("control"), F.explode(F.array(*labels)).alias("metric"), "metric_detail"
     ).where(F.col("metric").isNotNull())
 
 
-def _flags(keys: KeysOf) -> list[Column]:
-    return [
-        column.isNotNull().alias(f"has_{i}") for i, column in enumerate(keys.metrics.values()) if column is not None
-    ]
-
-
 def metric_grid(spark: SparkSession, specs: Sequence[ControlSpec], tables: Tables | None = None) -> DataFrame:
     """(control, metric, metric_detail) of all specs, without dates. Rows are unique."""
     specs = checked(specs)

@@ -1,9 +1,10 @@
-"""Source rows to incidents: (control, control_date, metric, metric_detail, weight)."""
+"""Source rows to incidents: (control, control_date, metric, metric_detail, weight, hits)."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from itertools import groupby
 
@@ -16,6 +17,33 @@ from tallygrid.functions.dates import DateSpan
 from tallygrid.sources.tables import Tables, lookup
 from tallygrid.spec import ControlSpec, Rule, checked
 
+# A rule over a category column is spelled out as one counter per expected category, so that it can
+# share a scan with the other rules of its source, up to this many categories.
+SPELLED_OUT_CELLS = 16
+
+
+@dataclass(frozen=True, eq=False)
+class _Counter:
+    """A rule ready to be counted: literal or column keys, the full condition, and the weight."""
+
+    control: str
+    date: str
+    metric: str | Column
+    metric_detail: str | Column
+    condition: Column | None
+    measure: Column | None
+    kind: str
+
+    def fields(self, weight: Column, hits: Column) -> list[Column]:
+        return [
+            F.lit(self.control).alias("control"),
+            F.col("control_date"),
+            _text(self.metric).alias("metric"),
+            _text(self.metric_detail).alias("metric_detail"),
+            weight.alias("weight"),
+            hits.alias("hits"),
+        ]
+
 
 def incidents(
     spark: SparkSession,
@@ -24,11 +52,11 @@ def incidents(
     as_of: dt.date,
     tables: Tables | None = None,
 ) -> DataFrame:
-    """Incidents of all specs inside the span.
+    """Incidents of all specs inside the span; a row stands for ``hits`` incidents of total ``weight``.
 
-    Controls that read the same source share one scan of it, whatever the number of their rules. The
-    scan carries the date bounds and the disjunction of all rule conditions, and reads only the
-    columns that the rules mention. Nothing is shuffled.
+    Every scan carries the date bounds and the rule conditions, and reads only the columns that its
+    rules mention. Rules over the same source are counted side by side in one pass, see
+    ``source_incidents``.
     """
     table = lookup(spark, tables)
     by_source = sorted(checked(specs), key=lambda spec: spec.source)
@@ -43,75 +71,133 @@ def incidents(
 def source_incidents(
     source: DataFrame, specs: Sequence[ControlSpec], span: DateSpan, as_of: dt.date
 ) -> Iterable[DataFrame]:
-    """Incidents of the controls over one source, one scan per type of measure."""
-    rules = [(spec, rule) for spec in specs for rule in spec.rules]
-    kinds: dict[str, list[tuple[ControlSpec, Rule, Column]]] = {}
-    for (spec, rule), (weight, kind) in zip(rules, _weights(source, [rule for _, rule in rules]), strict=True):
-        kinds.setdefault(kind, []).append((spec, rule, weight))
-    for weighted in kinds.values():
-        dates = dict.fromkeys(spec.date for spec, _, _ in weighted)
-        hits = []
-        for spec, rule, weight in weighted:
-            conditions = list(_rule_conditions(spec, rule, as_of))
-            if len(dates) > 1:
-                conditions.insert(0, span.holds(F.col(spec.date).cast("date")))
-            hits.append((all_of(conditions) if conditions else F.lit(True), _incident(spec, rule, weight)))
-        kept = source.where(any_of(span.holds(F.col(name).cast("date")) for name in dates)).where(
-            any_of(condition for condition, _ in hits)
-        )
-        if len(hits) == 1:
-            yield kept.select(*hits[0][1])
-        else:
-            # One slot per rule, empty where the rule does not apply. Inlining an empty slot gives a row of NULLs.
-            slots = [F.when(condition, F.struct(*fields)) for condition, fields in hits]
-            yield kept.select(F.inline(F.array(*slots))).where(F.col("control").isNotNull())
-
-
-def _text(value: str | Column) -> Column:
-    return F.lit(value) if isinstance(value, str) else value.cast("string")
+    """Incidents of the controls over one source.
 
+    A single rule yields its rows as they are; counting them is left to the aggregation over all
+    controls, whose map side collapses them before anything is shuffled.
 
-def _incident(spec: ControlSpec, rule: Rule, weight: Column) -> list[Column]:
-    return [
-        F.lit(spec.control).alias("control"),
-        F.col(spec.date).cast("date").alias("control_date"),
-        _text(rule.metric).alias("metric"),
-        _text(rule.metric_detail).alias("metric_detail"),
-        weight.alias("weight"),
-    ]
-
-
-def _rule_conditions(spec: ControlSpec, rule: Rule, as_of: dt.date) -> Iterable[Column]:
-    """The rule's own condition, and membership of its key columns in the expected keys.
+    Several rules would give a row several incidents. Instead of multiplying rows, rules with the same
+    key columns become conditional counters of one aggregation by day and key, and its few result rows
+    are unfolded into one row per rule afterwards. Rules of a static grid have no key columns once
+    their categories are spelled out, so all of them share one pass over the source.
+    """
+    rules = [(spec, rule) for spec in specs for rule in spec.rules]
+    kinds = _measure_kinds(source, [rule for _, rule in rules])
+    same = _SameColumn(source)
+    scans: dict[tuple, list[_Counter]] = {}
+    for (spec, rule), kind in zip(rules, kinds, strict=True):
+        for counter in _counters(spec, rule, kind, as_of, spell_out=len(rules) > 1):
+            keys = (same.number(key) for key in (counter.metric, counter.metric_detail))
+            scans.setdefault((counter.date, counter.kind, *keys), []).append(counter)
+    for counters in scans.values():
+        day = F.col(counters[0].date).cast("date")
+        bounded = span.holds(day)
+        if len(counters) == 1:
+            yield _rows(source, counters[0], day, bounded)
+        else:
+            yield _totals(source, counters, day, bounded)
+
+
+class _SameColumn:
+    """Numbers the key columns of a source so that columns meaning the same get the same number."""
+
+    def __init__(self, source: DataFrame) -> None:
+        self.source = source
+        self.seen: list[tuple[Column, DataFrame]] = []
+
+    def number(self, key: str | Column) -> int | None:
+        if isinstance(key, str):
+            return None
+        for i, (column, _) in enumerate(self.seen):
+            if column is key:
+                return i
+        selected = self.source.select(_text(key).alias("key"))
+        for i, (_, other) in enumerate(self.seen):
+            if selected.sameSemantics(other):
+                return i
+        self.seen.append((key, selected))
+        return len(self.seen) - 1
+
+
+def _rows(source: DataFrame, counter: _Counter, day: Column, bounded: Column) -> DataFrame:
+    kept = source.where(bounded if counter.condition is None else bounded & counter.condition)
+    one = F.lit(1).cast("bigint")
+    weight = one if counter.measure is None else counter.measure
+    control, _, *fields = counter.fields(weight, one)
+    return kept.select(control, day.alias("control_date"), *fields)
+
+
+def _totals(source: DataFrame, counters: Sequence[_Counter], day: Column, bounded: Column) -> DataFrame:
+    metric, metric_detail = counters[0].metric, counters[0].metric_detail
+    keys = [_text(key).alias(f"key_{i}") for i, key in enumerate((metric, metric_detail)) if not isinstance(key, str)]
+    conditions = [F.lit(True) if c.condition is None else c.condition for c in counters]
+    totals, slots = [], []
+    for i, (counter, condition) in enumerate(zip(counters, conditions, strict=True)):
+        hits = weight = F.col(f"hits_{i}")
+        totals.append(F.count_if(condition).alias(f"hits_{i}"))
+        if counter.measure is not None:
+            weight = F.col(f"weight_{i}")
+            totals.append(F.sum(F.when(condition, counter.measure)).alias(f"weight_{i}"))
+        slots.append(F.struct(*_keyed(counter).fields(weight, hits)))
+    return (
+        # With key columns, groups without a hit are kept from the shuffle. Without, there is one group a
+        # day, and testing every condition twice would only cost time.
+        source.where(bounded & any_of(conditions) if keys else bounded)
+        .groupBy(day.alias("control_date"), *keys)
+        .agg(*totals)
+        .select(F.inline(F.array(*slots)))
+        .where(F.col("hits") > 0)
+    )
+
+
+def _keyed(counter: _Counter) -> _Counter:
+    """The counter after grouping: its key columns are now the grouping columns."""
+    metric, metric_detail = (
+        key if isinstance(key, str) else F.col(f"key_{i}") for i, key in enumerate((counter.metric, counter.metric_detail))
+    )
+    return _Counter(counter.control, counter.date, metric, metric_detail, None, counter.measure, counter.kind)
+
+
+def _counters(spec: ControlSpec, rule: Rule, kind: str, as_of: dt.date, spell_out: bool) -> Iterable[_Counter]:
+    """The rule with membership of its keys in the expected keys added to its condition.
 
     A NULL key never matches an expected cell, so it is dropped here. For a static grid the list of
     expected keys goes into the scan, which keeps unknown categories out of the shuffle. Exact cell
     membership is settled by the grid itself when counting.
     """
-    condition = rule.condition(as_of)
-    if condition is not None:
-        yield condition
-    if not isinstance(rule.metric, str):
-        yield _text(rule.metric).isin(spec.metrics()) if spec.static else _text(rule.metric).isNotNull()
-    if not isinstance(rule.metric_detail, str):
-        detail = _text(rule.metric_detail)
-        yield detail.isin(spec.details_of(rule.metric)) if spec.static else detail.isNotNull()
+    own = [condition] if (condition := rule.condition(as_of)) is not None else []
+    measure = None if rule.measure is None else rule.measure.cast(kind)
+
+    def counter(metric: str | Column, detail: str | Column, *membership: Column) -> _Counter:
+        terms = [*own, *membership]
+        return _Counter(spec.control, spec.date, metric, detail, all_of(terms) if terms else None, measure, kind)
+
+    cells = spec.cells_of(rule) if spec.static else []
+    if spell_out and 0 < len(cells) <= SPELLED_OUT_CELLS:
+        for metric, detail in cells:
+            pairs = ((rule.metric, metric), (rule.metric_detail, detail))
+            yield counter(metric, detail, *[_text(key) == value for key, value in pairs if not isinstance(key, str)])
+        return
+    membership = []
+    for position, key in enumerate((rule.metric, rule.metric_detail)):
+        if not isinstance(key, str):
+            expected = dict.fromkeys(cell[position] for cell in cells)
+            membership.append(_text(key).isin(*expected) if spec.static else _text(key).isNotNull())
+    yield counter(rule.metric, rule.metric_detail, *membership)
+
+
+def _text(value: str | Column) -> Column:
+    return F.lit(value) if isinstance(value, str) else value.cast("string")
 
 
-def _weights(source: DataFrame, rules: Sequence[Rule]) -> list[tuple[Column, str]]:
-    """Weight and its type per rule: 1 for counting rules, else the measure.
+def _measure_kinds(source: DataFrame, rules: Sequence[Rule]) -> list[str]:
+    """Type of each rule's weight: bigint for counts and integer measures, else the measure's own.
 
-    Integers become bigint; decimals and doubles keep their type. The union of all controls then
-    widens the count column exactly as far as its widest measure needs.
+    The union of all controls then widens the count column exactly as far as its widest measure needs.
     """
     measured = [rule.measure for rule in rules if rule.measure is not None]
-    fields = iter(source.select(*[m.alias(f"m{i}") for i, m in enumerate(measured)]).schema.fields)
-    weights = []
-    for rule in rules:
-        if rule.measure is None:
-            weights.append((F.lit(1).cast("bigint"), "bigint"))
-            continue
-        kind = next(fields).dataType
-        name = "bigint" if isinstance(kind, T.IntegralType) else kind.simpleString()
-        weights.append((rule.measure.cast(name), name))
-    return weights
+    if not measured:
+        return ["bigint"] * len(rules)
+    fields = iter(source.select(*[measure.alias(f"m{i}") for i, measure in enumerate(measured)]).schema.fields)
+    types = [T.LongType() if rule.measure is None else next(fields).dataType for rule in rules]
+    return ["bigint" if isinstance(kind, T.IntegralType) else kind.simpleString() for kind in types]

@@ -14,7 +14,7 @@ from tallygrid.operators.counts import grid_counts
 from tallygrid.operators.freshness import attach_refresh, refresh_times
 from tallygrid.operators.grid import scaffold as build_scaffold
 from tallygrid.operators.incidents import incidents
-from tallygrid.sources.tables import Tables
+from tallygrid.sources.tables import Tables, lookup
 from tallygrid.spec import CELL, ControlSpec, RefreshSource
 
 UNIFIED = (*CELL, "control_count", "daily_absolute_change", "daily_percent_change", "last_refresh_time")
@@ -35,6 +35,7 @@ def control_counts(
     it; otherwise the scaffold is built for the ``days`` before ``as_of``.
     """
     span = span or DateSpan.before(as_of, days)
+    tables = lookup(spark, tables)
     if scaffold is None:
         scaffold = build_scaffold(spark, specs, span, tables)
     else:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,7 @@ def parquet_tables(spark: SparkSession, folder: str) -> Callable[[str], DataFram
 
 
 def lookup(spark: SparkSession, tables: Tables | None) -> Callable[[str], DataFrame]:
+    """``tables`` as a function that resolves each name once."""
     if tables is None:
-        return catalog_tables(spark)
-    return tables if callable(tables) else tables.__getitem__
+        tables = catalog_tables(spark)
+    return cache(tables if callable(tables) else tables.__getitem__)

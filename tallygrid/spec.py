@@ -65,37 +65,33 @@ class ControlSpec:
     def __post_init__(self) -> None:
         if not self.rules:
             raise ValueError(f"{self.control}: a control needs at least one rule")
-        if isinstance(self.grid, KeysOf):
-            metrics = set(self.grid.metrics)
-        else:
+        if self.static:
             object.__setattr__(self, "grid", tuple(tuple(cell) for cell in self.grid))
             if len(set(self.grid)) != len(self.grid):
                 raise ValueError(f"{self.control}: the grid holds the same cell twice")
-            metrics = {metric for metric, _ in self.grid}
         for rule in self.rules:
-            if isinstance(rule.metric, str) and rule.metric not in metrics:
-                raise ValueError(f"{self.control}: no expected cell has the metric {rule.metric!r}")
-            if isinstance(rule.metric_detail, str) and not self.details_of(rule.metric, rule.metric_detail):
-                raise ValueError(f"{self.control}: no expected cell has the detail {rule.metric_detail!r}")
+            if not self._expects(rule):
+                raise ValueError(f"{self.control}: no expected cell fits {rule.metric!r}, {rule.metric_detail!r}")
 
     @property
     def static(self) -> bool:
         return not isinstance(self.grid, KeysOf)
 
-    def metrics(self) -> list[str]:
-        return list(dict.fromkeys(metric for metric, _ in self.grid))
-
-    def details_of(self, metric: str | Column, detail: str | None = None) -> list[str]:
-        """Expected details of a metric (of all metrics when it is a column)."""
-        if not self.static:
-            return [] if detail is None else [detail]
-        return list(
-            dict.fromkeys(
-                d
-                for m, d in self.grid
-                if (not isinstance(metric, str) or m == metric) and (detail is None or d == detail)
+    def cells_of(self, rule: Rule) -> list[tuple[str, str]]:
+        """Cells of a static grid that the rule can count into."""
+        return [
+            cell
+            for cell in self.grid
+            if all(
+                not isinstance(key, str) or key == expected
+                for key, expected in zip((rule.metric, rule.metric_detail), cell, strict=True)
             )
-        )
+        ]
+
+    def _expects(self, rule: Rule) -> bool:
+        if self.static:
+            return bool(self.cells_of(rule))
+        return not isinstance(rule.metric, str) or rule.metric in self.grid.metrics
 
 
 @dataclass(frozen=True)
