@@ -390,7 +390,7 @@ REFRESH = [
 def refresh_ctes() -> str:
     tables = " UNION ALL ".join(
         f"SELECT {quoted(d)} AS dataset_id, {quoted(t)} AS table_id, "
-        f"CAST(epoch_ms(max({column})) AS BIGINT) AS last_modified_time FROM {base}"
+        f"CAST(epoch_us(max({column})) // 1000 AS BIGINT) AS last_modified_time FROM {base}"
         for d, t, base, column in METADATA
     )
     wanted = ", ".join(f"({quoted(c)}, {quoted(d)}, {quoted(t)})" for c, d, t in REFRESH)

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+def replace_table(df: DataFrame, table: str) -> None:
     """Replaces ``table`` by the result of ``df``, which may itself read ``table``.
 
     A catalog that can replace a table in one step does so. In the built-in session catalog the rows
@@ -17,11 +16,10 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     """
     spark = df.sparkSession
     if _replaces_in_one_step(table):
-        writer = df.writeTo(table)
-        (writer.partitionedBy(*partition_by) if partition_by else writer).createOrReplace()
+        df.writeTo(table).createOrReplace()
         return
     staging = f"{table}__{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).saveAsTable(staging)
+    df.write.saveAsTable(staging)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
