@@ -7,7 +7,7 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
-from tallygrid import ControlSpec, KeysOf, Rule, same_month, unpivot_rules
+from tallygrid import ControlSpec, KeysOf, Rule, same_month
 from tallygrid.functions.conditions import null_or_zero
 
 # (as of, days): the days before a fixed date, and all days that the table covers.

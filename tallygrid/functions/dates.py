@@ -36,10 +36,6 @@ class DateSpan:
         """
         return day.between(F.lit(self.first), F.lit(self.last))
 
-    def days(self) -> Column:
-        """Array of every day in the span (the step is given, so it can never run backwards)."""
-        return F.sequence(F.lit(self.first), F.lit(self.last), F.expr("INTERVAL 1 DAY"))
-
 
 def resolve_as_of(spark: SparkSession, as_of: dt.date | None = None) -> dt.date:
     """``as_of`` if given, else today in the session time zone."""

@@ -36,16 +36,20 @@ def refresh_times(spark: SparkSession, mapping: Sequence[RefreshSource], metadat
 def file_refresh_times(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """(control, last_refresh_time) from the newest file under each control's source path.
 
-    Uses the file listing only; column pruning keeps the file contents unread.
+    Uses the file listing only; column pruning keeps the file contents unread. A path that several
+    controls share is listed once. A path without files gives no row.
     """
+    sharing: dict[str, list[str]] = {}
+    for control, path in paths.items():
+        sharing.setdefault(path, []).append(control)
     parts = [
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
         .agg(F.max("modificationTime").alias("last_refresh_time"))
-        .select(F.lit(control).alias("control"), "last_refresh_time")
         .where(F.col("last_refresh_time").isNotNull())
-        for control, path in paths.items()
+        .select(F.explode(F.array(*[F.lit(control) for control in controls])).alias("control"), "last_refresh_time")
+        for path, controls in sharing.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -153,6 +153,9 @@ def test_file_times(spark, tmp_path):
     newest = dt.datetime(2023, 11, 14, 22, 13, 20) + dt.timedelta(seconds=len(files) - 1)
     assert {tuple(r) for r in df.collect()} == {("c", newest), ("d", newest)}
     assert "content" not in plan_text(df)
+    assert plan_text(df).split("== Initial Plan ==")[0].count("FileScan") == 1
+    (tmp_path / "empty").mkdir()
+    assert file_refresh_times(spark, {"e": str(tmp_path / "empty")}).collect() == []
 
 
 def test_without_metadata_the_time_is_null(spark):
