@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import packing
+from tallygrid.llm import huffman, packing
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -31,7 +31,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = huffman.write_corpus(documents(spark, sf_dir), BYTE_BPE)
+    read = huffman.read_corpus(spark, folder)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     return {
+        "op6_huffman_files": (op6_huffman_files, None),
         "op2_best_fit_packing": (op2_best_fit_packing, None),
     }
