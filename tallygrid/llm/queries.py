@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import huffman, packing
+from tallygrid.llm import huffman, outliers, packing
+from tallygrid.llm.storage import Scratch, import_on_workers
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import_on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -37,8 +39,18 @@ def op6_huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "outliers")
+    judged = outliers.judged(documents(spark, sf_dir), scratch)
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select(
+        "doc_id", *[f"counts.{name}" for name in counts], outliers.base_failed().alias("base_failed"), "kept", "distance"
+    )
+
+
 def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     return {
+        "op9_robust_outliers": (op9_robust_outliers, None),
         "op6_huffman_files": (op6_huffman_files, None),
         "op2_best_fit_packing": (op2_best_fit_packing, None),
     }
