@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import huffman, outliers, packing
+from tallygrid.llm import huffman, outliers, packing, toxicity
 from tallygrid.llm.storage import Scratch, import_on_workers
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,9 +48,18 @@ def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    classifier = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.scored(docs, classifier)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted, "threshold", "flagged")
+
+
 def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     return {
         "op9_robust_outliers": (op9_robust_outliers, None),
+        "op8_toxicity": (op8_toxicity, None),
         "op6_huffman_files": (op6_huffman_files, None),
         "op2_best_fit_packing": (op2_best_fit_packing, None),
     }
