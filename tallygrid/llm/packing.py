@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrid.llm.storage import Scratch, small_table
@@ -78,27 +78,18 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 
 
-def _ranked(rows: DataFrame, size: str, key: str) -> DataFrame:
-    """Adds ``rank``: a number from 0 within each ``size``, in salted runs by ``key``.
+def _salted(rows: DataFrame, size: str, key: str) -> tuple[DataFrame, dict[int, list[tuple[int, int, int]]]]:
+    """Adds ``place``, from 0 within each ``size`` and salt by ``key``; and where each salt's run begins.
 
-    The counts that are gathered are at most one for each length and salt.
+    Runs of a size are (salt, rows before, rows). Counts are gathered, at most one for each size and salt.
     """
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
-    counts = salted.groupBy(size, "salt").agg(F.count("*").alias("n")).collect()
-    before: dict[int, int] = {}
-    offsets = []
-    for n_size, salt, n in sorted(counts):
-        offsets.append((n_size, salt, before.get(n_size, 0)))
-        before[n_size] = before.get(n_size, 0) + n
-    spark = rows.sparkSession
-    runs = small_table(spark, offsets, f"{size} bigint, salt bigint, run bigint")
-    window = Window.partitionBy(size, "salt").orderBy(key)
-    return (
-        salted.withColumn("place", F.row_number().over(window))
-        .join(F.broadcast(runs), [size, "salt"])
-        .withColumn("rank", F.col("run") + F.col("place") - 1)
-        .drop("salt", "place", "run")
-    )
+    runs: dict[int, list[tuple[int, int, int]]] = {}
+    for n_size, salt, n in sorted(salted.groupBy(size, "salt").agg(F.count("*").alias("n")).collect()):
+        own = runs.setdefault(n_size, [])
+        own.append((salt, own[-1][1] + own[-1][2] if own else 0, n))
+    order = Window.partitionBy(size, "salt").orderBy(key)
+    return salted.withColumn("place", F.row_number().over(order).cast("bigint") - 1), runs
 
 
 class _Sweep:
@@ -148,6 +139,9 @@ class _Sweep:
         self.gaps += supply
 
 
+_STATE = "sequence_id bigint, before bigint, length bigint, r0 bigint, k bigint"
+
+
 def best_fit(items: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -> DataFrame:
     """(item, sequence_id, offset) for ``items`` (item long, length long from 1 to ``capacity``).
 
@@ -155,104 +149,124 @@ def best_fit(items: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -> Da
     is over ``capacity``. An empty input gives an empty result.
     """
     spark = items.sparkSession
-    ranked = scratch.keep(_ranked(items, "length", "item"), "ranked")
-    waiting = np.zeros(capacity + 1, np.int64)
-    for length, n in ranked.groupBy("length").agg(F.count("*")).collect():
-        waiting[length] = n
-    alone = F.col("length") > capacity // 2
-    opened = ranked.where(alone).select("item", "length")
-    placed = [opened.select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))]
-    gaps = opened.where(F.col("length") < capacity).select(
-        F.col("item").alias("sequence_id"), (capacity - F.col("length")).alias("gap")
+    placed, runs = _salted(items, "length", "item")
+    begins = small_table(
+        spark, [(n, salt, run) for n, own in runs.items() for salt, run, _ in own], "length bigint, salt bigint, run bigint"
+    )
+    ranked = placed.join(F.broadcast(begins), ["length", "salt"]).select(
+        "item", "length", (F.col("run") + F.col("place")).alias("rank")
     )
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranked = scratch.keep(ranked.repartitionByRange(parts, "length", "rank").sortWithinPartitions("length", "rank"), "ranked")
+    waiting = np.zeros(capacity + 1, np.int64)
+    for length, own in runs.items():
+        waiting[length] = sum(n for _, _, n in own)
+    half = capacity // 2
+    opened = [(int(n), 0, int(waiting[n])) for n in range(half + 1, capacity + 1) if waiting[n]]
     sizes = np.zeros(capacity + 1, np.int64)
-    sizes[1 : capacity - capacity // 2] = waiting[capacity // 2 + 1 : capacity][::-1]
-    waiting[capacity // 2 + 1 :] = 0
+    sizes[1 : capacity - half] = waiting[half + 1 : capacity][::-1]
+    waiting[half + 1 :] = 0
     used = np.zeros_like(waiting)
-    high, step = capacity // 2, 0
+    state = scratch.keep(_new_gaps(ranked, opened, capacity), "gaps-0")
+    high, step = half, 0
     while waiting.any():
         low = int(high / BAND) if high > LAST_BAND else 0
         while waiting[low + 1 : high + 1].any():
-            sizes[0] = 0
+            step += 1
             sweep = _Sweep(waiting, used, sizes, low, high)
             sizes = sweep.gaps
-            gaps, fills, first = _round(spark, ranked, gaps, sweep, capacity, scratch, step)
-            placed += [x for x in (fills, first) if x is not None]
-            step += 1
+            sizes[0] = 0
+            after = _filled(state, sweep) if sweep.matches else _kept(state)
+            if sweep.opened:
+                opened += sweep.opened
+                after = after.unionByName(_new_gaps(ranked, sweep.opened, capacity))
+            state = scratch.keep(after, f"gaps-{step}")
         high = low
-    fills = [p for p in placed[1:] if "rank" in p.columns]
-    direct = [placed[0], *(p for p in placed[1:] if "rank" not in p.columns)]
-    out = _union(direct)
-    if fills:
-        out = out.unionByName(
-            ranked.where(~alone)
-            .join(_union(fills), ["length", "rank"])
-            .select("item", "sequence_id", F.col("offset").cast("bigint").alias("offset"))
+    first = _opened(ranked, opened).select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    rounds = spark.read.schema(_STATE).parquet(*[f"{scratch.folder}/gaps-{i}" for i in range(step + 1)])
+    fills = (
+        rounds.where("length IS NOT NULL")
+        .withColumn("slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1)))
+        .select(
+            "length",
+            (F.col("r0") + F.col("slot")).alias("rank"),
+            "sequence_id",
+            (capacity - F.col("before") + F.col("slot") * F.col("length")).alias("offset"),
         )
-    return out
+    )
+    return first.unionByName(ranked.join(fills, ["length", "rank"]).select("item", "sequence_id", "offset"))
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    while len(parts) > 1:
-        parts = [a.unionByName(b) for a, b in zip(parts[::2], parts[1::2], strict=False)] + parts[len(parts) & ~1 :]
-    return parts[0]
+def _opened(ranked: DataFrame, opened: list[tuple[int, int, int]]) -> DataFrame:
+    """The items that begin sequences, of (length, first rank, items)."""
+    rows = [(length, r0, r0 + n) for length, r0, n in opened]
+    table = small_table(ranked.sparkSession, rows, "length bigint, r0 bigint, r1 bigint")
+    longest, least = max([r[0] for r in rows], default=0), min([r[0] for r in rows], default=0)
+    return (
+        ranked.where(F.col("length").between(least, longest))
+        .join(F.broadcast(table), "length")
+        .where((F.col("rank") >= F.col("r0")) & (F.col("rank") < F.col("r1")))
+        .select("item", "length")
+    )
 
 
-def _round(
-    spark: SparkSession, ranked: DataFrame, gaps: DataFrame, sweep: _Sweep, capacity: int, scratch: Scratch, step: int
-) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """Gaps after the round; places by (length, rank) that it filled; first pieces of new sequences."""
-    began = fills = None
-    after = gaps
-    if sweep.matches:
-        rows = [(gap, g0, g0 - (-n // k), length, r0, n, k) for length, r0, n, gap, g0, k in sweep.matches]
-        plan = small_table(
-            spark, rows, "gap bigint, g0 bigint, g1 bigint, length bigint, r0 bigint, n bigint, slots bigint"
-        )
-        rank = F.col("rank")
-        touched = {gap for _, _, _, gap, _, _ in sweep.matches}
-        lasting = gaps.where(~F.col("gap").isin(*touched)).withColumn("rank", F.lit(None).cast("bigint"))
-        sorted_gaps = _ranked(gaps.where(F.col("gap").isin(*touched)), "gap", "sequence_id")
-        ordered = lasting.unionByName(sorted_gaps)
-        within = (F.col("o.gap") == F.col("p.gap")) & (rank >= F.col("g0")) & (rank < F.col("g1"))
-        nth: Column = rank - F.col("g0")
-        filled = (
-            ordered.alias("o")
-            .join(F.broadcast(plan.alias("p")), within, "left")
-            .select(
-                "sequence_id",
-                F.col("o.gap").alias("before"),
-                "length",
-                (F.col("r0") + nth * F.col("slots")).alias("r0"),
-                F.least("slots", F.col("n") - nth * F.col("slots")).alias("k"),
-            )
-        )
-        filled = scratch.keep(filled, f"gaps-{step}")
-        after = filled.select(
-            "sequence_id", (F.col("before") - F.coalesce(F.col("length") * F.col("k"), F.lit(0))).alias("gap")
-        ).where("gap > 0")
-        slot = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1)).alias("slot")
-        fills = (
-            filled.where("length IS NOT NULL")
-            .select("sequence_id", "before", "length", "r0", slot)
-            .select(
-                "length",
-                (F.col("r0") + F.col("slot")).alias("rank"),
-                "sequence_id",
-                (capacity - F.col("before") + F.col("slot") * F.col("length")).alias("offset"),
-            )
-        )
-    if sweep.opened:
-        first = [(length, r0, r0 + n) for length, r0, n in sweep.opened]
-        opens = small_table(spark, first, "length bigint, r0 bigint, r1 bigint")
-        began = (
-            ranked.join(F.broadcast(opens), "length")
-            .where((F.col("rank") >= F.col("r0")) & (F.col("rank") < F.col("r1")))
-            .select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"), "length")
+def _new_gaps(ranked: DataFrame, opened: list[tuple[int, int, int]], capacity: int) -> DataFrame:
+    none = F.lit(None).cast("bigint")
+    return (
+        _opened(ranked, opened)
+        .where(F.col("length") < capacity)
+        .select(
+            F.col("item").alias("sequence_id"),
+            (capacity - F.col("length")).alias("before"),
+            none.alias("length"),
+            none.alias("r0"),
+            none.alias("k"),
         )
-        after = after.unionByName(began.select("sequence_id", (capacity - F.col("length")).alias("gap")))
-        began = began.drop("length")
-    return after, fills, began
+    )
+
+
+def _gaps(state: DataFrame) -> DataFrame:
+    left = F.col("before") - F.coalesce(F.col("length") * F.col("k"), F.lit(0))
+    return state.select("sequence_id", left.alias("gap")).where("gap > 0")
+
+
+def _kept(state: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("bigint")
+    return _gaps(state).select("sequence_id", F.col("gap").alias("before"), none.alias("length"), none.alias("r0"), none.alias("k"))
+
+
+def _filled(state: DataFrame, sweep: _Sweep) -> DataFrame:
+    """Gaps as before the round, with the items that each one takes in it (length, first rank, how many)."""
+    gaps, runs = _salted(_gaps(state), "gap", "sequence_id")
+    rows = []
+    for length, r0, n, gap, g0, slots in sweep.matches:
+        end = g0 - (-n // slots)
+        for salt, run, count in runs[gap]:
+            low, high = max(g0, run), min(end, run + count)
+            if low < high:
+                skipped = (low - g0) * slots
+                rows.append((gap, salt, low - run, high - run, length, r0 + skipped, n - skipped, slots))
+    plan = small_table(
+        state.sparkSession,
+        rows,
+        "gap bigint, salt bigint, p0 bigint, p1 bigint, length bigint, first bigint, n bigint, slots bigint",
+    )
+    nth = F.col("place") - F.col("p0")
+    joined = gaps.alias("g").join(
+        F.broadcast(plan.alias("p")),
+        (F.col("g.gap") == F.col("p.gap"))
+        & (F.col("g.salt") == F.col("p.salt"))
+        & (F.col("place") >= F.col("p0"))
+        & (F.col("place") < F.col("p1")),
+        "left",
+    )
+    return joined.select(
+        "sequence_id",
+        F.col("g.gap").alias("before"),
+        "length",
+        (F.col("first") + nth * F.col("slots")).alias("r0"),
+        F.least("slots", F.col("n") - nth * F.col("slots")).alias("k"),
+    )
 
 
 def pack(

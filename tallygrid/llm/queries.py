@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import huffman, outliers, packing, toxicity
+from tallygrid.llm import huffman, outliers, packing, simhash, toxicity
 from tallygrid.llm.storage import Scratch, import_on_workers
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,11 @@ def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     classifier = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -60,6 +65,7 @@ def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
     return {
         "op9_robust_outliers": (op9_robust_outliers, None),
         "op8_toxicity": (op8_toxicity, None),
+        "op7_simhash": (op7_simhash, None),
         "op6_huffman_files": (op6_huffman_files, None),
         "op2_best_fit_packing": (op2_best_fit_packing, None),
     }
