@@ -30,7 +30,7 @@ SHINGLE = 3
 DISTANCE = 3
 #: What a verified candidate costs, in probes.
 CANDIDATE_COST = 16.0
-MOST_GROUPS = 6
+MOST_GROUPS = 4
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -61,7 +61,7 @@ def _signed(texts: Texts, shingle: int) -> np.ndarray:
     size = ends - starts
     # Words with one blank behind each, so that every shingle is one run of bytes.
     count = size + 1
-    joined = gathered(np.append(LOWER[texts.data], 0x20), starts, count).copy()
+    joined = gathered(np.append(LOWER[texts.data], np.uint8(0x20)), starts, count).copy()
     stop = np.cumsum(count)
     joined[stop - 1] = 0x20
     whole, begin, stop = joined.tobytes(), (stop - count).tolist(), (stop - 1).tolist()
@@ -158,9 +158,9 @@ def search_plan(distinct: DataFrame, distance: int = DISTANCE) -> list[tuple[lis
     layouts = [grouped_bits(agreement, m) for m in range(2, MOST_GROUPS + 1)]
     values = [bits for layout in layouts for bits in layout]
     # Pairs that agree in a whole group, counted exactly over all fingerprints.
-    same = []
-    for bits in values:
-        same.append(distinct.groupBy(_group_value(bits).alias("v")).agg(F.count("*").alias("c")).agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0])
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _group_value(bits).alias("v")) for i, bits in enumerate(values)]))
+    counts = distinct.select(cells.alias("cell")).groupBy("cell.i", "cell.v").agg(F.count("*").alias("c"))
+    same = dict(counts.groupBy("i").agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).collect())
     ones = _ones(distinct) / n
     differ = 2 * ones * (1 - ones)
     best, chosen, at = np.inf, [], 0
@@ -205,7 +205,8 @@ def _runs(distinct: DataFrame, plan: list[tuple[list[int], int]], distance: int)
             near = [F.lag("fingerprint", k).over(run) for k in (1, 2, 3)] + [F.first("fingerprint").over(run)]
             pairs = (
                 distinct.withColumn("value", _group_value(bits))
-                .select(F.col("fingerprint").alias("a"), F.explode(F.array(*near)).alias("b"))
+                .select(F.col("fingerprint").alias("a"), F.array(*near).alias("near"))
+                .select("a", F.explode("near").alias("b"))
                 .where((F.col("a") != F.col("b")) & (_distance("a", "b") <= distance))
             )
             out = pairs if out is None else out.unionByName(pairs)
