@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import huffman, outliers, packing, simhash, toxicity
+from tallygrid.llm import huffman, outliers, packing, pii, simhash, toxicity
 from tallygrid.llm.storage import Scratch, import_on_workers
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Stands for a secret; users pass their own.
+KEY = "key of the registered query"
+
+
+def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(documents(spark, sf_dir), KEY).select("doc_id", "text", "n_found")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(documents(spark, sf_dir), WORD_BPE)
     return packed.select(
@@ -66,6 +74,7 @@ def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
         "op9_robust_outliers": (op9_robust_outliers, None),
         "op8_toxicity": (op8_toxicity, None),
         "op7_simhash": (op7_simhash, None),
+        "op1_feistel_pseudonyms": (op1_feistel_pseudonyms, None),
         "op6_huffman_files": (op6_huffman_files, None),
         "op2_best_fit_packing": (op2_best_fit_packing, None),
     }
