@@ -269,6 +269,16 @@ def _filled(state: DataFrame, sweep: _Sweep) -> DataFrame:
     )
 
 
+def pieces_and_places(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, scratch: Scratch | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The stored pieces with their ids, and (piece_key, sequence_id, offset) of each."""
+    scratch = scratch or Scratch(docs.sparkSession, "packing")
+    pieces = scratch.keep(token_pieces(docs, tokenizer, capacity, end_id), "pieces")
+    places = best_fit(pieces.select(F.col("piece_key").alias("item"), "length"), scratch, capacity)
+    return pieces, places.withColumnRenamed("item", "piece_key")
+
+
 def pack(
     docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, scratch: Scratch | None = None
 ) -> DataFrame:
@@ -277,9 +287,5 @@ def pack(
     Only documents of more than ``capacity`` ids are cut. A null text is empty and still takes its end
     id. An empty table gives no rows. Columns other than doc_id and text don't matter.
     """
-    scratch = scratch or Scratch(docs.sparkSession, "packing")
-    pieces = scratch.keep(token_pieces(docs, tokenizer, capacity, end_id), "pieces")
-    places = best_fit(pieces.select(F.col("piece_key").alias("item"), "length"), scratch, capacity)
-    return pieces.join(places.withColumnRenamed("item", "piece_key"), "piece_key").select(
-        "doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"
-    )
+    pieces, places = pieces_and_places(docs, tokenizer, capacity, end_id, scratch)
+    return pieces.join(places, "piece_key").select("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset")

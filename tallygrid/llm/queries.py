@@ -29,16 +29,9 @@ def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(documents(spark, sf_dir), WORD_BPE)
-    return packed.select(
-        "doc_id",
-        "piece",
-        "start",
-        "length",
-        F.crc32("ids").alias("ids_crc32"),
-        "sequence_id",
-        F.col("offset").alias("offset"),
-    )
+    pieces, places = packing.pieces_and_places(documents(spark, sf_dir), WORD_BPE)
+    digests = pieces.select("piece_key", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return digests.join(places, "piece_key").drop("piece_key")
 
 
 def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

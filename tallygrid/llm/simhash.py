@@ -49,9 +49,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                     [own, pa.array(_signed(texts, shingle).view(np.int64))], ["doc_id", "fingerprint"]
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        sign, "doc_id bigint, fingerprint bigint"
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(sign, f"doc_id {kind}, fingerprint bigint")
 
 
 def _signed(texts: Texts, shingle: int) -> np.ndarray:
@@ -258,6 +257,37 @@ def linked(distinct: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> D
     )
 
 
+def survivors(docs: DataFrame, scratch: Scratch | None = None, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """``docs`` with one document of each group: that of the smallest doc_id (nulls first; then by a hash of the text).
+
+    Of rows equal in doc_id and text one stays. All columns stay as they are.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "simhash")
+    key = F.xxhash64("doc_id", "text")
+    narrow = docs.select(F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key")).alias("doc_id"), "text")
+    signed = scratch.keep(fingerprints(narrow, shingle).select("doc_id.*", "fingerprint"), "signed-rows")
+    distinct = scratch.keep(signed.select("fingerprint").distinct(), "distinct")
+    groups = scratch.keep(linked(distinct, scratch, distance), "groups")
+    kept = (
+        signed.join(groups, "fingerprint")
+        .groupBy("component")
+        .agg(F.min(F.struct("doc_id", "key")).alias("first"))
+        .select(F.col("first.doc_id").alias("__doc"), F.col("first.key").alias("__key"))
+    )
+    times = signed.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(F.count("*").alias("__times"))
+    kept = scratch.keep(kept, "kept")
+    repeated = scratch.keep(times.where("__times > 1").select("__key", "__doc"), "repeated")
+    own = docs.withColumn("__key", key)
+    found = own.join(kept.withColumnRenamed("__key", "__k"), (F.col("__key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__doc")), "left_semi")
+    if repeated.isEmpty():
+        return found.drop("__key")
+    again = repeated.select(F.col("__key").alias("__k"), "__doc")
+    match = (F.col("__key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
+    single = found.join(again, match, "left_anti")
+    double = found.join(again, match, "left_semi").dropDuplicates(["doc_id", "__key"])
+    return single.unionByName(double).drop("__key")
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fingerprint long, component_id) of every document.
 
@@ -266,7 +296,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, shingle: in
     and an empty table none. Texts without words share fingerprint 0 and are linked like others.
     """
     scratch = scratch or Scratch(docs.sparkSession, "simhash")
-    signed = scratch.keep(fingerprints(docs, shingle), "signed")
+    signed = scratch.keep(fingerprints(docs.select(F.col("doc_id").cast("bigint"), "text"), shingle), "signed")
     distinct = scratch.keep(signed.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
     joined = linked(distinct.select("fingerprint"), scratch, distance)
     members = joined.join(distinct, "fingerprint")
