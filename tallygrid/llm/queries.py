@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import huffman, lines, outliers, packing, pii, simhash, toxicity
+from tallygrid.llm import brown, huffman, lines, outliers, packing, pii, simhash, toxicity
 from tallygrid.llm.storage import Scratch, import_on_workers
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,10 @@ def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.deduplicated(documents(spark, sf_dir)).select("doc_id", "text", "n_dropped")
 
 
+def op5_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.scored(documents(spark, sf_dir))
+
+
 def op6_huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = huffman.write_corpus(documents(spark, sf_dir), BYTE_BPE)
     read = huffman.read_corpus(spark, folder)
@@ -73,6 +77,7 @@ def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
         "op7_simhash": (op7_simhash, None),
         "op1_feistel_pseudonyms": (op1_feistel_pseudonyms, None),
         "op4_fuzzy_lines": (op4_fuzzy_lines, None),
+        "op5_brown_classes": (op5_brown_classes, None),
         "op6_huffman_files": (op6_huffman_files, None),
         "op2_best_fit_packing": (op2_best_fit_packing, None),
     }
