@@ -219,13 +219,14 @@ def _across(labelled: DataFrame, plan: list[tuple[list[int], int]], distance: in
         value = labelled.withColumn("value", _group_value(bits))
         flips = _flips(bits, threshold)
         probes = value.select(
-            "fingerprint", "component", F.explode(F.transform(F.array(*[F.lit(m) for m in flips]), lambda m: F.col("value").bitwiseXOR(m))).alias("value")
-        )
-        # A value met by one component alone can't give a new link; crowds of copies end here.
+            "fingerprint", "component", F.col("value").alias("held"), F.explode(F.array(*[F.lit(m) for m in flips])).alias("flip")
+        ).select("fingerprint", "component", F.col("held").bitwiseXOR(F.col("flip")).alias("value"), (F.col("flip") == 0).alias("own"))
+        # A value that no fingerprint has, or that one component alone meets, can't give a new link;
+        # crowds of copies end here.
         mixed = (
             probes.groupBy("value")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low < high")
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("own").alias("held"))
+            .where("held AND low < high")
             .select("value")
         )
         held = value.select("value", F.col("fingerprint").alias("b"), F.col("component").alias("with"))
