@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import brown, huffman, lines, outliers, packing, pii, simhash, toxicity
+from tallygrid.llm import bpe, brown, huffman, lines, outliers, packing, pii, simhash, toxicity
 from tallygrid.llm.storage import Scratch, import_on_workers
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.join(places, "piece_key").drop("piece_key")
 
 
+def op3_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encoded(documents(spark, sf_dir), BYTE_BPE))
+
+
 def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.deduplicated(documents(spark, sf_dir)).select("doc_id", "text", "n_dropped")
 
@@ -78,6 +82,7 @@ def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
         "op1_feistel_pseudonyms": (op1_feistel_pseudonyms, None),
         "op4_fuzzy_lines": (op4_fuzzy_lines, None),
         "op5_brown_classes": (op5_brown_classes, None),
+        "op3_chunk_reuse_bpe": (op3_chunk_reuse_bpe, None),
         "op6_huffman_files": (op6_huffman_files, None),
         "op2_best_fit_packing": (op2_best_fit_packing, None),
     }
