@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import bpe, brown, huffman, lines, outliers, packing, pii, simhash, toxicity
+from tallygrid.llm import bpe, brown, huffman, lines, neighbours, outliers, packing, pii, simhash, toxicity
 from tallygrid.llm.storage import Scratch, import_on_workers
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted, "threshold", "flagged")
 
 
+def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import_on_workers(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     return {
         "op9_robust_outliers": (op9_robust_outliers, None),
@@ -83,6 +89,7 @@ def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
         "op4_fuzzy_lines": (op4_fuzzy_lines, None),
         "op5_brown_classes": (op5_brown_classes, None),
         "op3_chunk_reuse_bpe": (op3_chunk_reuse_bpe, None),
+        "op10_nn_descent": (op10_nn_descent, None),
         "op6_huffman_files": (op6_huffman_files, None),
         "op2_best_fit_packing": (op2_best_fit_packing, None),
     }
