@@ -214,20 +214,23 @@ def standard_control_sql(as_of: dt.date) -> dict[str, Control]:
     timing = "Timing issue - active billing billing task - check in the next control run"
     stop_1 = "Review - active temp stop vessel, why billed with original charges"
     stop_2 = "Review - why billed with suspended charges although they are reactivated"
+    # Fixed values.
     provisioning = [
-        *("Bill no service", "Duplicates in billing"),
-        *(
-            f"Rate plan mismatch{x}"
-            for x in (
-                "",
-                " - NULL in billing",
-                " - NULL in provisioning",
-                " - Possible timing issue",
-                " - Retail service",
-            )
-        ),
-        *(f"{kind}{x}" for kind in ("Service no bill", "Status mismatch") for x in ("", " - Possible timing issue", " - Retail service")),
+        "Bill no service",
+        "Duplicates in billing",
+        "Rate plan mismatch",
+        "Rate plan mismatch - NULL in billing",
+        "Rate plan mismatch - NULL in provisioning",
+        "Rate plan mismatch - Possible timing issue",
+        "Rate plan mismatch - Retail service",
+        "Service no bill",
+        "Service no bill - Possible timing issue",
+        "Service no bill - Retail service",
+        "Status mismatch",
+        "Status mismatch - Possible timing issue",
+        "Status mismatch - Retail service",
     ]
+    statuses = "'No billing available - needs review', 'Old billing - needs review'"
     measures = ("files_collected", "ime_totrecsrecvd", "ime_v_sv_difference")
     portal = "s.traffic_type || ' - ' || s.ime_acquisitionportal"
     controls = [
@@ -289,7 +292,7 @@ def standard_control_sql(as_of: dt.date) -> dict[str, Control]:
             "F01-M",
             source("pulse_projects_reconciliation.control_monthly_data"),
             "project_implementation_confirmed_date",
-            "s.project_type = g.metric_detail AND ends_with(s.billing_status, ' - needs review') "
+            f"s.project_type = g.metric_detail AND s.billing_status IN ({statuses}) "
             "AND s.project_status <> 'Stopped' AND s.billed_arrears = 'Not billed in arrears'",
             [("Tasks Remaining", t) for t in ("Contract change", "New installation", "Upgrade installation")],
         ),

@@ -27,10 +27,10 @@ from tallygrid import (
 from tallygrid.functions.conditions import null_or_zero
 from tallygrid.functions.dates import same_month
 from tallygrid.functions.ratios import safe_divide
-from tallygrid.operators.freshness import attach_refresh
+from tallygrid.operators.freshness import attach_refresh, refresh_select
 from tallygrid.plans import catalog
 from tallygrid.sources.tables import parquet_tables
-from tallygrid.spec import KeysOf
+from tallygrid.spec import ControlSpec, KeysOf, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,7 +122,8 @@ def unified_in_ms(spark: SparkSession, sf_dir: str, window: tuple[dt.date, int])
 
 
 def fused_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order and line shape over its whole table: one scan per table for eleven controls."""
+    """Every order and line shape over its whole table: eleven controls in one scan of each table, besides
+    one scan for each derived key list and its counts."""
     specs = [s for s in shapes().values() if s.source != "events"]
     return period_change(control_counts(spark, specs, *FULL, parquet_tables(spark, sf_dir)))
 
@@ -290,7 +291,7 @@ def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order counts per standard control date source, with a refresh time that some of them lack."""
-    counts = control_counts(spark, catalog.standard_controls(), *RECENT, stand_in_tables(spark, sf_dir))
+    counts = control_counts(spark, catalog.standard_controls(), *FULL, stand_in_tables(spark, sf_dir))
     per_control = counts.groupBy("control").agg(F.sum("control_count").alias("total"))
     times = refresh_times(spark, catalog.REFRESH_SOURCES, stand_in_metadata(spark, sf_dir))
     return attach_refresh(per_control, times, len(catalog.REFRESH_SOURCES)).select(
@@ -300,7 +301,92 @@ def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup_join_sql() -> str:
     return f"""SELECT control, CAST(sum(control_count) AS BIGINT) AS total, max(last_refresh_ms) AS last_refresh_ms
-        FROM ({oracle.unified_sql(*RECENT)}) GROUP BY control"""
+        FROM ({oracle.unified_sql(*FULL)}) GROUP BY control"""
+
+
+# Stored relations, without storing them.
+
+
+def stored_scaffold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts as the second job takes them: on a scaffold that was built before, with its span."""
+    as_of, days = FULL
+    span = DateSpan.before(as_of, days)
+    tables = stand_in_tables(spark, sf_dir)
+    specs = catalog.standard_controls()
+    grid = scaffold(spark, specs, span, tables)
+    return control_counts(spark, specs, as_of, tables=tables, scaffold=grid, span=span)
+
+
+def stored_scaffold_counts_sql() -> str:
+    return f"""SELECT control, control_date, metric, metric_detail, control_count
+        FROM ({oracle.unified_sql(*FULL)})"""
+
+
+def refresh_view_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the stored freshness view: its own SELECT, over the metadata."""
+    stand_in_metadata(spark, sf_dir).createOrReplaceTempView("refresh_view_metadata")
+    rows = spark.sql(refresh_select(catalog.REFRESH_SOURCES, "refresh_view_metadata"))
+    return rows.select("control", F.unix_millis("last_refresh_time").alias("last_refresh_ms"))
+
+
+# Types of sums.
+
+
+def decimal_measure_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A decimal measure beside a plain count on the same table; shown as doubles, which both engines print alike."""
+    discount = F.col("l_discount").cast("decimal(12,2)")
+    summed = ControlSpec(
+        "decimal_lines",
+        "lineitem",
+        "l_shipdate",
+        [Rule("discount", F.col("l_returnflag"), measure=discount)],
+        [("discount", "A"), ("discount", "N"), ("discount", "R")],
+    )
+    specs = [summed, shapes()["cell_open_lines"]]
+    rows = period_change(control_counts(spark, specs, *FULL, parquet_tables(spark, sf_dir)))
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("control_count", "daily_absolute_change")})
+
+
+def decimal_measure_shared_sql() -> str:
+    lag = "lag(n) OVER series"
+    return f"""WITH days AS ({oracle.days_sql(*FULL)}),
+        keys AS (SELECT * FROM (VALUES ('decimal_lines', 'discount', 'A'), ('decimal_lines', 'discount', 'N'),
+            ('decimal_lines', 'discount', 'R'), ('cell_open_lines', 'rows', 'n/a')) AS k(control, metric, metric_detail)),
+        hits AS (SELECT 'decimal_lines' AS control, CAST(l_shipdate AS DATE) AS control_date, 'discount' AS metric,
+                l_returnflag AS metric_detail, CAST(l_discount AS DECIMAL(12, 2)) AS weight FROM lineitem
+            UNION ALL SELECT 'cell_open_lines', CAST(l_shipdate AS DATE), 'rows', 'n/a', 1 FROM lineitem
+            WHERE l_linestatus = 'O'),
+        sums AS (SELECT control, control_date, metric, metric_detail, sum(weight) AS n FROM hits GROUP BY ALL),
+        counts AS (SELECT control, control_date, metric, metric_detail, CAST(coalesce(n, 0) AS DECIMAL(38, 6)) AS n
+            FROM keys CROSS JOIN days LEFT JOIN sums USING (control, control_date, metric, metric_detail))
+        SELECT control, control_date, metric, metric_detail, CAST(n AS DOUBLE) AS control_count,
+            CAST(n - {lag} AS DOUBLE) AS daily_absolute_change,
+            CAST(n - {lag} AS DOUBLE) / nullif(CAST({lag} AS DOUBLE), 0) * 100 AS daily_percent_change
+        FROM counts {oracle.SERIES}"""
+
+
+# Keys taken from a column of many values.
+
+
+def supplier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cell for each supplier that any line names, over the last 200 days."""
+    spec = ControlSpec(
+        "supplier_lines", "lineitem", "l_shipdate", [Rule("lines", F.col("l_suppkey"))], KeysOf(F.col("l_suppkey"), {"lines": None})
+    )
+    return control_counts(spark, [spec], FULL[0], 200, parquet_tables(spark, sf_dir))
+
+
+def supplier_counts_sql() -> str:
+    control = oracle.Control(
+        "supplier_lines",
+        "lineitem",
+        "l_shipdate",
+        "CAST(s.l_suppkey AS VARCHAR) = g.metric_detail",
+        detail="CAST(s.l_suppkey AS VARCHAR)",
+        metrics={"lines": None},
+    )
+    rows = oracle.report_sql([control], FULL[0], 200)
+    return f"SELECT control, control_date, metric, metric_detail, control_count FROM ({rows})"
 
 
 def unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,6 +413,11 @@ def unpivot_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_keys(parquet_tables(spark, sf_dir)("lineitem"), "labels", spec).select("metric")
 
 
+def unpivot_labels_sql() -> str:
+    return """SELECT 'tax' AS metric FROM lineitem HAVING count(l_tax) > 0
+        UNION ALL SELECT 'none' FROM lineitem HAVING count(CASE WHEN l_tax < -1 THEN l_tax END) > 0"""
+
+
 def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = parquet_tables(spark, sf_dir)("orders")
     day = F.col("o_orderdate").cast("date")
@@ -394,8 +485,12 @@ def registry() -> dict[str, tuple[Query, str]]:
         "cross_lists": (cross_lists, cross_lists_sql()),
         "distinct_keys": (distinct_keys, "SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem"),
         "lookup_join": (lookup_join, lookup_join_sql()),
+        "stored_scaffold_counts_full": (stored_scaffold_counts, stored_scaffold_counts_sql()),
+        "refresh_view_rows": (refresh_view_rows, refresh_sql()),
+        "decimal_measure_shared_full": (decimal_measure_shared, decimal_measure_shared_sql()),
+        "supplier_keys_counts": (supplier_counts, supplier_counts_sql()),
         "unpivot_nonnull": (unpivot, unpivot_sql()),
-        "unpivot_labels": (unpivot_labels, "SELECT 'tax' AS metric FROM lineitem HAVING count(l_tax) > 0"),
+        "unpivot_labels": (unpivot_labels, unpivot_labels_sql()),
         "scalar_functions": (scalar_functions, scalar_functions_sql()),
     }
     for key, control in CONTROL_IDS.items():

@@ -72,8 +72,10 @@ STAND_INS: dict[str, tuple[str, list[str]]] = {
             "CAST(o_orderdate AS DATE) AS project_implementation_confirmed_date",
             "CASE o_orderpriority WHEN '1-URGENT' THEN 'Contract change' WHEN '2-HIGH' THEN 'New installation' "
             "WHEN '3-MEDIUM' THEN 'Upgrade installation' ELSE 'Other' END AS project_type",
-            "CASE o_orderstatus WHEN 'F' THEN 'No billing available - needs review' WHEN 'P' THEN "
-            "'Old billing - needs review' ELSE 'Billed' END AS billing_status",
+            "CASE o_orderstatus WHEN 'F' THEN 'No billing available - needs review' "
+            "WHEN 'P' THEN 'Old billing - needs review' "
+            # Ends like the two that count and isn't one of them.
+            "ELSE CASE WHEN o_custkey % 3 = 0 THEN 'Other billing - needs review' ELSE 'Billed' END END AS billing_status",
             "CASE WHEN o_totalprice < 100000 THEN NULL WHEN o_totalprice > 400000 THEN 'Stopped' ELSE 'Active' END "
             "AS project_status",
             "CASE WHEN o_totalprice > 350000 THEN 'Billed in arrears' ELSE 'Not billed in arrears' END "

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -38,10 +37,10 @@ class DateSpan:
 
 
 def resolve_as_of(spark: SparkSession, as_of: dt.date | None = None) -> dt.date:
-    """``as_of`` if given, else today in the session time zone."""
+    """``as_of`` if given, else today as Spark sees it, in whatever form the session time zone is set."""
     if as_of is not None:
         return as_of
-    return dt.datetime.now(ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))).date()
+    return spark.range(1).select(F.current_date()).first()[0]
 
 
 def same_month(day: Column, as_of: dt.date) -> Column:

@@ -12,5 +12,5 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
 
 
 def percent_change(current: Column, previous: Column) -> Column:
-    """Change relative to ``previous`` in percent; NULL when ``previous`` is NULL or zero."""
-    return safe_divide(current - previous, previous) * 100
+    """Change relative to ``previous`` in percent, as a double; NULL when ``previous`` is NULL or zero."""
+    return safe_divide((current - previous).cast("double"), previous.cast("double")) * 100

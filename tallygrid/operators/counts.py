@@ -53,7 +53,7 @@ def _expected_cells(scaffold: DataFrame, incidents: DataFrame) -> DataFrame:
         .agg(
             F.bool_or("expected").alias("expected"),
             F.sum("hits").alias("hits"),
-            F.coalesce(F.sum("weight"), F.lit(0)).alias("control_count"),
+            F.coalesce(F.sum("weight"), F.lit(0)).cast(kind).alias("control_count"),
         )
         .where("expected")
     )

@@ -21,6 +21,9 @@ from tallygrid.spec import ControlSpec, Rule, checked
 # share a scan with the other rules of its source, up to this many categories.
 SPELLED_OUT_CELLS = 16
 
+# Decimal measures are rounded to this type before they are summed, and sums stay in it.
+DECIMAL_SUM = "decimal(38,6)"
+
 
 @dataclass(frozen=True, eq=False)
 class _Counter:
@@ -137,12 +140,12 @@ def _totals(source: DataFrame, counters: Sequence[_Counter], day: Column, bounde
         totals.append(F.count_if(condition).alias(f"hits_{i}"))
         if counter.measure is not None:
             weight = F.col(f"weight_{i}")
-            totals.append(F.sum(F.when(condition, counter.measure)).alias(f"weight_{i}"))
+            totals.append(F.sum(F.when(condition, counter.measure)).cast(counter.kind).alias(f"weight_{i}"))
         slots.append(F.struct(*_keyed(counter).fields(weight, hits)))
     return (
-        # With key columns, groups without a hit are kept from the shuffle. Without, there is one group a
-        # day, and testing every condition twice would only cost time.
-        source.where(bounded & any_of(conditions) if keys else bounded)
+        # The conditions go into the scan as one OR, so that statistics and dictionaries of the files can
+        # rule out what no rule wants.
+        source.where(bounded & any_of(conditions))
         .groupBy(day.alias("control_date"), *keys)
         .agg(*totals)
         .select(F.inline(F.array(*slots)))
@@ -191,13 +194,18 @@ def _text(value: str | Column) -> Column:
 
 
 def _measure_kinds(source: DataFrame, rules: Sequence[Rule]) -> list[str]:
-    """Type of each rule's weight: bigint for counts and integer measures, else the measure's own.
+    """Type of each rule's weight and of its sums: bigint for counts and integer measures, ``DECIMAL_SUM``
+    for decimals of any precision, double for the rest.
 
-    The union of all controls then widens the count column exactly as far as its widest measure needs.
+    The type is kept through every sum, so it depends neither on how many cells a control has nor on
+    the other controls of its source. The union of all controls takes the widest of the three.
     """
     measured = [rule.measure for rule in rules if rule.measure is not None]
     if not measured:
         return ["bigint"] * len(rules)
     fields = iter(source.select(*[measure.alias(f"m{i}") for i, measure in enumerate(measured)]).schema.fields)
     types = [T.LongType() if rule.measure is None else next(fields).dataType for rule in rules]
-    return ["bigint" if isinstance(kind, T.IntegralType) else kind.simpleString() for kind in types]
+    return [
+        "bigint" if isinstance(kind, T.IntegralType) else DECIMAL_SUM if isinstance(kind, T.DecimalType) else "double"
+        for kind in types
+    ]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.functions.dates import DateSpan, resolve_as_of
 from tallygrid.operators.change import period_change
-from tallygrid.operators.freshness import attach_refresh
+from tallygrid.operators.freshness import attach_refresh, refresh_select
 from tallygrid.operators.grid import scaffold
 from tallygrid.plans.unified import UNIFIED, control_counts
 from tallygrid.sinks.tables import replace_table, replace_view
@@ -33,17 +33,7 @@ def refresh_scaffold(
 
 def define_refresh_view(spark: SparkSession, mapping: Sequence[RefreshSource], metadata: str, view: str) -> None:
     """Defines the freshness view over the stored ``metadata`` table (dataset_id, table_id, last_modified_time)."""
-    wanted = ", ".join(f"({_quoted(m.control)}, {_quoted(m.dataset_id)}, {_quoted(m.table_id)})" for m in mapping)
-    replace_view(
-        spark,
-        view,
-        f"""
-        SELECT wanted.control, timestamp_millis(max(tables.last_modified_time)) AS last_refresh_time
-        FROM {metadata} AS tables
-        JOIN VALUES {wanted} AS wanted(control, dataset_id, table_id) USING (dataset_id, table_id)
-        GROUP BY wanted.control
-        """,
-    )
+    replace_view(spark, view, refresh_select(mapping, metadata))
 
 
 def refresh_unified(
@@ -54,17 +44,21 @@ def refresh_unified(
     target: str,
     as_of: dt.date | None = None,
     tables: Tables | None = None,
-    refresh_rows: int | None = None,
 ) -> None:
     """Rebuilds the unified table on the stored scaffold.
 
+    Of the refresh view, the rows of the given controls are used, one for each.
+
     The scan bounds come from the days the scaffold really holds, so a run that falls between
     midnight and the next scaffold refresh still counts every day it reports.
     """
     grid = spark.table(scaffold_table)
     as_of = resolve_as_of(spark, as_of)
     counts = control_counts(spark, specs, as_of, tables=tables, scaffold=grid, span=stored_span(grid, as_of))
-    rows = attach_refresh(period_change(counts), spark.table(refresh_view), refresh_rows)
+    names = [spec.control for spec in specs]
+    times = spark.table(refresh_view).where(F.col("control").isin(*names))
+    times = times.groupBy("control").agg(F.max("last_refresh_time").alias("last_refresh_time"))
+    rows = attach_refresh(period_change(counts), times, len(names))
     replace_table(rows.select(*UNIFIED), target)
 
 
@@ -72,7 +66,3 @@ def stored_span(grid: DataFrame, as_of: dt.date) -> DateSpan:
     """First and last day of a stored scaffold (the day before ``as_of`` if it is empty)."""
     first, last = grid.agg(F.min("control_date"), F.max("control_date")).first()
     return DateSpan.before(as_of, 1) if first is None else DateSpan(first, last)
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

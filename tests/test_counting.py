@@ -100,6 +100,25 @@ def test_count_column_widens_to_the_measure(spark, kind, value, expected, result
     assert dict(df.dtypes)["control_count"].startswith(result)
 
 
+@pytest.mark.parametrize(("kind", "value"), [("decimal(12,2)", Decimal("0.10")), ("double", 0.25)])
+def test_sums_depend_on_neither_neighbours_nor_list_length(spark, kind, value):
+    rows = [(day(1), "k0", value), (day(1), "k0", value), (day(2), "k0", value)]
+    tables = {"t": spark.createDataFrame(rows, f"d date, k string, v {kind}")}
+    seen = set()
+    for cells in (1, 16, 17):
+        grid = [("m", f"k{i}") for i in range(cells)]
+        summed = ControlSpec("s", "t", "d", [Rule("m", F.col("k"), measure=F.col("v"))], grid)
+        for neighbours in ([], [cell()]):
+            df = period_change(control_counts(spark, [summed, *neighbours], AS_OF, tables=tables))
+            types = tuple(t for c, t in df.dtypes if c in ("control_count", "daily_absolute_change", "daily_percent_change"))
+            found = df.where("control = 's' AND metric_detail = 'k0'").orderBy("control_date").collect()
+            seen.add((types, tuple((r.control_count, r.daily_absolute_change, r.daily_percent_change) for r in found)))
+    ((types, values),) = seen
+    assert types == (("decimal(38,6)",) * 2 if "decimal" in kind else ("double",) * 2) + ("double",)
+    assert [v[0] for v in values] == [2 * value, value, 0, 0, 0]
+    assert [v[2] for v in values[:3]] == [None, -50.0, -100.0]
+
+
 def test_null_in_condition_is_not_counted(spark):
     df = counts(spark, cell(F.col("s") != "Stopped"), [(day(1), None), (day(1), "Stopped"), (day(1), "On")], "d date, s string")
     assert series(df)[("m", "x")][0] == 1

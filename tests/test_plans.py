@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from checks.queries import FULL, RECENT, unified_report
 from checks.shapes import shapes
 from tallygrid import ControlSpec, KeysOf, Rule, control_counts, metric_grid, period_change
+from tallygrid.plans import catalog
 from tallygrid.sources.local import literal_rows
 from tallygrid.sources.tables import parquet_tables
 from tests.helpers import plan_text
@@ -41,6 +42,27 @@ def test_date_bounds_and_categories_reach_the_scan(spark, capsys):
     assert re.findall(r"(o_\w+):", schema) == ["o_orderstatus", "o_orderdate"]
 
 
+@pytest.mark.parametrize(
+    ("control", "columns", "pushed"),
+    [
+        (
+            catalog.leases,
+            "contract_start_date date, billed_as_expected boolean, lease_cancelled boolean, "
+            "wholesale_part_of_retail_lease boolean, lease_contract_number string, contract_value bigint",
+            "Or(",
+        ),
+        (catalog.termination_fees, "billing_task_completed_on date, sap_net_value double, is_vessel_ooc string", "Or("),
+        (catalog.variable_leases, "order_date date, category_1 string, billed_in_sv_category string", "Or("),
+    ],
+)
+def test_conditions_of_several_rules_reach_the_scan(spark, tmp_path, control, columns, pushed):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([], columns).write.parquet(path)
+    spec = control()
+    df = control_counts(spark, [spec], dt.date(2024, 6, 11), tables={spec.source: spark.read.parquet(path)})
+    assert any(pushed in filters for filters in re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan_text(df)))
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
 def test_bounds_prune_for_every_date_type(spark, tmp_path, kind):
     path = str(tmp_path / kind)
