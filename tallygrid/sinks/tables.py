@@ -3,25 +3,54 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+_FAILURES = (PySparkException, Py4JJavaError)
+
 
 def replace_table(df: DataFrame, table: str) -> None:
     """Replaces ``table`` by the result of ``df``, which may itself read ``table``.
 
-    A catalog that can replace a table in one step does so. In the built-in session catalog the rows
-    are written to a staging table first and swapped in by name when complete: a failed or
-    interrupted write leaves the old table as it was, and readers never see a half-written one.
+    A catalog that can replace a table in one step does so. Elsewhere the rows are written to a
+    staging table with the format, partitioning and properties of the old one; then the old table is
+    renamed aside, the new one takes its name, and only then the old one is dropped. If the new one
+    can't take the name, the old one gets it back. Between the two renames, readers find no table for a
+    moment; after a driver lost just there, the old table is the one named ``..__old_..``. A failed
+    write leaves the old table as it was and no staging table.
     """
     spark = df.sparkSession
-    if _replaces_in_one_step(table):
-        df.writeTo(table).createOrReplace()
+    parts = _parts(spark, table)
+    if _replaces_in_one_step(spark, parts):
+        df.writeTo(_quoted(parts)).createOrReplace()
         return
-    staging = f"{table}__{uuid.uuid4().hex}"
-    df.write.saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    mark = uuid.uuid4().hex
+    target = _quoted(parts)
+    staging, aside = (_quoted([*parts[:-1], f"{parts[-1]}__{kind}_{mark}"]) for kind in ("staging", "old"))
+    exists = spark.catalog.tableExists(target)
+    try:
+        _write_like(df, staging, target if exists else None)
+    except BaseException:
+        _discard(spark, staging, [*parts[:-1], f"{parts[-1]}__staging_{mark}"])
+        raise
+    if exists:
+        try:
+            spark.sql(f"ALTER TABLE {target} RENAME TO {aside}")
+        except BaseException:
+            _discard(spark, staging, None)
+            raise
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    except BaseException:
+        if exists:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
+        _discard(spark, staging, None)
+        raise
+    if exists:
+        spark.sql(f"DROP TABLE {aside}")
 
 
 def replace_view(spark: SparkSession, view: str, query: str) -> None:
@@ -29,6 +58,59 @@ def replace_view(spark: SparkSession, view: str, query: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
 
 
-def _replaces_in_one_step(table: str) -> bool:
-    parts = table.split(".")
-    return len(parts) > 2 and parts[0] != "spark_catalog"
+def _parts(spark: SparkSession, name: str) -> list[str]:
+    """The parts of a name as SQL reads it, quotes removed."""
+    found = spark._jsparkSession.sessionState().sqlParser().parseMultipartIdentifier(name)
+    return [found.apply(i) for i in range(found.size())]
+
+
+def _quoted(parts: Sequence[str]) -> str:
+    return ".".join(f"`{part.replace('`', '``')}`" for part in parts)
+
+
+def _replaces_in_one_step(spark: SparkSession, parts: Sequence[str]) -> bool:
+    """Whether the catalog that the name resolves to stages replacements."""
+    manager = spark._jsparkSession.sessionState().catalogManager()
+    named = len(parts) > 1 and (parts[0] == "spark_catalog" or manager.isCatalogRegistered(parts[0]))
+    catalog = manager.catalog(parts[0]) if named else manager.currentCatalog()
+    staging = spark._jvm.java.lang.Class.forName(
+        "org.apache.spark.sql.connector.catalog.StagingTableCatalog", False, catalog.getClass().getClassLoader()
+    )
+    return bool(staging.isInstance(catalog))
+
+
+def _write_like(df: DataFrame, staging: str, old: str | None) -> None:
+    writer = df.write
+    spark = df.sparkSession
+    properties: dict[str, str] = {}
+    if old is not None:
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {old}").collect()
+        provider = next((r.data_type for r in described if r.col_name == "Provider"), None)
+        if provider:
+            writer = writer.format(provider)
+        partitions = [c.name for c in spark.catalog.listColumns(old) if c.isPartition and c.name in df.columns]
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {old}").collect()}
+    writer.saveAsTable(staging)
+    kept = {k: v for k, v in properties.items() if not k.startswith(("transient_", "spark.sql.", "numFiles", "totalSize"))}
+    if kept:
+        text = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in sorted(kept.items()))
+        spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ({text})")
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _discard(spark: SparkSession, staging: str, parts: Sequence[str] | None) -> None:
+    """Drops the staging table and, where a write failed before the table was made, its files."""
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        if parts is not None and len(parts) <= 2:
+            catalog = spark._jsparkSession.sessionState().catalog()
+            identifier = spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(staging)
+            path = spark._jvm.org.apache.hadoop.fs.Path(catalog.defaultTablePath(identifier))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except _FAILURES:
+        pass  # what failed first is what the caller should see

@@ -100,6 +100,58 @@ def test_failed_write_leaves_the_old_table(spark, stored):
     assert "incident_rows" in {t.name for t in spark.catalog.listTables("monitor")}
 
 
+def test_failed_swap_gives_the_old_table_its_name_back(spark, stored, monkeypatch):
+    replace_table(spark.range(3), "monitor.swapped")
+    run = type(spark).sql
+
+    def failing(self, query, *args, **more):
+        if "__staging_" in query and "RENAME TO" in query:
+            raise ValueError("lost")
+        return run(self, query, *args, **more)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(ValueError, match="lost"):
+        replace_table(spark.range(5), "monitor.swapped")
+    monkeypatch.undo()
+    assert spark.table("monitor.swapped").count() == 3
+    assert not [t.name for t in spark.catalog.listTables("monitor") if "__" in t.name]
+
+
+def test_replacing_keeps_partitions_and_properties(spark, stored):
+    rows = spark.range(4).selectExpr("id", "CAST(id % 2 AS INT) AS part")
+    rows.write.partitionBy("part").saveAsTable("monitor.parted")
+    spark.sql("ALTER TABLE monitor.parted SET TBLPROPERTIES ('keeper' = 'it\\'s')")
+    replace_table(rows.where("id > 1"), "monitor.parted")
+    assert [c.name for c in spark.catalog.listColumns("monitor.parted") if c.isPartition] == ["part"]
+    assert {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES monitor.parted").collect()}["keeper"] == "it's"
+    assert spark.table("monitor.parted").count() == 2
+
+
+def test_quoted_names_can_be_replaced(spark, stored):
+    for n in (2, 3):
+        replace_table(spark.range(n), "monitor.`my-t`")
+    assert spark.table("monitor.`my-t`").count() == 3
+
+
+def test_lookup_beyond_the_bound_does_not_rest_on_one_key(spark):
+    rows = spark.range(50).selectExpr("'a' AS control", "id")
+    times = spark.createDataFrame([("a", NOON)], "control string, last_refresh_time timestamp")
+    joined = attach_refresh(rows, times, BROADCAST_ROWS + 1)
+    assert joined.columns == ["control", "id", "last_refresh_time"]
+    assert joined.where("last_refresh_time IS NOT NULL").count() == 50
+    assert "_salt" in plan_text(joined)
+
+
+@pytest.mark.parametrize("zone", ["+02:00", "Asia/Tokyo", "UTC"])
+def test_today_in_any_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert resolve_as_of(spark) == spark.range(1).select(F.current_date()).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_partitioned_table_is_read_by_name(spark, stored):
     refresh_scaffold(spark, controls(), "monitor.scaffold", AS_OF, tables=stored)
     spark.table("monitor.scaffold").write.partitionBy("control").saveAsTable("monitor.by_control")
