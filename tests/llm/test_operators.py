@@ -1,0 +1,330 @@
+"""Operators over documents and vectors against plain Python, with nulls, ties, repeats and empty tables."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tallygrid.llm import bpe, brown, huffman, lines, neighbours, outliers, packing, pii, simhash, toxicity
+from tallygrid.llm.components import components
+from tallygrid.llm.storage import Scratch
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, ids string, score string"
+SENTENCE = "The quick brown fox jumps over the lazy dog while nobody is watching the old garden gate"
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Copies, near copies, odd white space, special tokens, nulls, repeated rows, and clashing column names."""
+    rng = np.random.default_rng(3)
+    vocabulary = ["stone", "River", "cloud", "über", "été", "niño", "42", "don't", "a.b", "x-y", "(so)", "end."]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in (3, 9, 40, 200, 900)]
+    texts += [SENTENCE, SENTENCE, SENTENCE + ".", f"{SENTENCE}\n{SENTENCE}\nshort line\n\nshort line"]
+    texts += ["", " \n\t ", None, "a <|endoftext|> b", "tab\tand　wide  blanks\r\n x", "İstanbul ΣΑΣ", "z" * 9000]
+    texts += [f"{texts[3]} {SENTENCE}", f"{SENTENCE}\n{texts[3]}"]
+    rows = [(i, t, "en" if i % 2 else None, "s", None, "clash", None) for i, t in enumerate(texts)]
+    rows += [(5, SENTENCE, "en", "s", 1, None, None), (None, "null id", None, None, None, None, None), (None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def rows_of(docs):
+    return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+
+
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_packing(spark, docs):
+    library = Tokenizer.from_file(WORD_BPE)
+    packed = packing.pack(docs, WORD_BPE, capacity=64).collect()
+    pieces = Counter()
+    for doc_id, text in rows_of(docs):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [0]
+        for k in range(0, len(ids), 64):
+            pieces[(doc_id, k // 64, k, tuple(ids[k : k + 64]))] += 1
+    assert Counter((r.doc_id, r.piece, r.start, tuple(np.frombuffer(r.ids, "<u4"))) for r in packed) == pieces
+    places = {}
+    for r in packed:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in places.values():
+        end = 0
+        for offset, length in sorted(own):
+            assert offset == end
+            end += length
+        assert end <= 64
+    total = sum(len(k[3]) * n for k, n in pieces.items())
+    assert len(places) <= math.ceil(total / 64) + 2
+    assert packing.pack(nothing(spark), WORD_BPE).count() == 0
+
+
+def test_chunk_reuse(spark, docs, monkeypatch):
+    library = Tokenizer.from_file(BYTE_BPE)
+    found = Counter(tuple(r) for r in bpe.digests(bpe.encoded(docs, BYTE_BPE)).collect())
+    expected = Counter()
+    for doc_id, text in rows_of(docs):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        expected[
+            (
+                doc_id,
+                len(ids),
+                hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                hashlib.sha256(decoded.encode()).hexdigest(),
+            )
+        ] += 1
+    assert found == expected
+    assert bpe.digests(bpe.encoded(nothing(spark), BYTE_BPE)).count() == 0
+
+
+def test_huffman_round_trip(spark, docs):
+    library = Tokenizer.from_file(BYTE_BPE)
+    found = huffman.read_corpus(spark, huffman.write_corpus(docs, BYTE_BPE)).collect()
+    rows = sorted(rows_of(docs), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    start, expected = 0, []
+    for doc_id, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [0]
+        expected.append((doc_id, start, len(ids), tuple(ids)))
+        start += len(ids)
+    assert sorted([(r.doc_id, r.start, r.n_tokens, tuple(np.frombuffer(r.ids, "<u4"))) for r in found], key=lambda r: r[1]) == expected
+    assert huffman.read_corpus(spark, huffman.write_corpus(nothing(spark), BYTE_BPE)).count() == 0
+
+
+@pytest.mark.parametrize("counts", [[5], [1, 1], [1, 2, 4, 8, 16, 32, 64, 128, 256, 512], [1] * 300])
+def test_code_lengths_are_optimal_or_limited(counts):
+    bits = huffman.code_lengths(np.array(counts), longest=9)
+    assert bits.max() <= 9
+    assert len(counts) == 1 or sum(0.5 ** int(b) for b in bits) == pytest.approx(1)
+
+
+def simhash_of(text):
+    w = words((text or "").translate(LOWER))
+    shingles = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_components(spark, docs):
+    rows = rows_of(docs)
+    prints = [simhash_of(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {g: min((d for (d, _), k in zip(rows, group, strict=True) if k == g and d is not None), default=None) for g in group}
+    expected = Counter((d, p, least[g]) for (d, _), p, g in zip(rows, prints, group, strict=True))
+    found = simhash.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.fingerprint % (1 << 64), r.component_id) for r in found) == expected
+    kept = simhash.survivors(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == len(set(group))
+    assert simhash.near_duplicates(nothing(spark)).count() == 0
+
+
+def test_threshold_allotment_is_the_cheapest():
+    costs = np.array([[0, 5, 9, 30, 99], [0, 1, 8, 20, 80], [0, 4, 4, 50, 90]], float)
+    best = min(
+        (costs[0, a] + costs[1, b] + costs[2, c], [a - 1, b - 1, c - 1])
+        for a in range(5)
+        for b in range(5)
+        for c in range(5)
+        if a + b + c == 4
+    )
+    assert simhash.allotted(costs, 3)[0] == best[0]
+
+
+def test_components(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 200, (120, 2))] + [(i, i + 1) for i in range(300, 340)] + [(7, 7)]
+    group = {n: n for p in pairs for n in p}
+    for a, b in pairs:
+        old, new = max(group[a], group[b]), min(group[a], group[b])
+        group = {n: new if g == old else g for n, g in group.items()}
+    found = components(spark.createDataFrame(pairs, "a bigint, b bigint"), Scratch(spark, "test")).collect()
+    linked = {n for a, b in pairs if a != b for n in (a, b)}
+    assert {r.node: r.component for r in found} == {n: group[n] for n in linked}
+
+
+def test_line_dedup(spark):
+    near = SENTENCE.replace("lazy", "lazi")
+    rows = [
+        (2, f"{SENTENCE}\nshort line\n{SENTENCE}"),
+        (1, f"head words stand here alone today\n  {SENTENCE.upper()} \nshort line"),
+        (3, near),
+        (4, None),
+        (5, ""),
+        (6, f"{SENTENCE} with many other words that were never part of it and change it wholly"),
+    ]
+    found = {r.doc_id: (r.text, r.n_dropped) for r in lines.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found[1] == (rows[1][1], 0)
+    assert found[2] == ("short line", 2)
+    assert found[4] == (None, 0)
+    assert found[5] == ("", 0)
+    assert found[6][1] == 0
+    assert found[3] in ((near, 0), ("", 1))  # gone if its words keep the fingerprint within three bits
+    empty = lines.deduplicated(spark.createDataFrame([], "doc_id bigint, text string"))
+    assert empty.columns == ["doc_id", "text", "n_dropped"]
+    assert empty.count() == 0
+
+
+def test_outlier_counts_and_verdicts(spark, docs):
+    judged = outliers.judged(docs).collect()
+    assert len(judged) == docs.count()
+    by_text = Counter()
+    for doc_id, text in rows_of(docs):
+        w = words(text)
+        windows = [tuple(w[i : i + 8]) for i in range(len(w) - 7)]
+        times, cover = Counter(windows), set()
+        for i, x in enumerate(windows):
+            if times[x] > 1:
+                cover.update(range(i, i + 8))
+        seen, dup = set(), 0
+        for line in (text or "").split("\n"):
+            if words(line):
+                dup += line in seen
+                seen.add(line)
+        by_text[(doc_id, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(cover))] += 1
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    assert Counter((r.doc_id, *(r.counts[n] for n in names)) for r in judged) == by_text
+    assert all(not r.kept for r in judged if r.counts.n_words < 20)
+    assert outliers.filtered(docs).columns == docs.columns
+    assert outliers.judged(nothing(spark)).count() == 0
+
+
+def test_outlier_stands_out(spark):
+    rng = np.random.default_rng(2)
+    vocabulary = ["stone", "river", "cloud", "garden", "window", "letter", "morning", "paper", "forest", "silver"]
+    rows = [(i, " ".join(rng.choice(vocabulary, 60)) + str(i), "en", "s") for i in range(200)]
+    rows.append((999, " ".join(f"{w}###" for w in rng.choice(vocabulary, 60)), "en", "s"))
+    kept = {r.doc_id: r.kept for r in outliers.judged(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()}
+    assert not kept.pop(999)
+    assert all(kept.values())
+
+
+def test_brown_scores(spark, docs):
+    rows = [(d, words((t or "").translate(LOWER))) for d, t in rows_of(docs)]
+    out = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
+    counts, ends = Counter(), 0
+    for d, w in rows:
+        if not out(d):
+            counts.update(w)
+            ends += 1
+    n, v = sum(counts.values()) + ends, len(counts) + 1
+    log = lambda c: math.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+    expected = sorted(
+        (str(d), out(d), len(w) + 1, sum(counts[x] > 0 for x in w) + 1, n, round(sum(log(counts[x]) for x in w) + log(ends), 6)) for d, w in rows
+    )
+    found = brown.scored(docs).collect()
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in found) == expected
+    assert all(r.score < 0 for r in found)
+    assert brown.scored(nothing(spark)).count() == 0
+
+
+def test_exchange_finds_alternating_classes():
+    rng = np.random.default_rng(0)
+    bigrams = np.zeros((brown._UNITS, brown._UNITS))
+    for a, b in zip(rng.integers(0, 10, 4000), rng.integers(10, 20, 4000), strict=True):
+        bigrams[a, b] += 1
+        bigrams[b, rng.integers(0, 10)] += 1
+    of = brown.exchange_classes(bigrams, classes=2)
+    assert len(set(of[:10])) == len(set(of[10:20])) == 1
+    assert of[0] != of[10]
+
+
+def test_toxicity(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = [f"word{i}" for i in range(40)]
+    rows, labels = [], []
+    for i in range(400):
+        text = " ".join(rng.choice(vocabulary, 30))
+        toxic = i % 3 == 0
+        rows.append((i, f"{text} nasty {text}" if toxic else text, "en"))
+        labels.append((i, int(toxic)))
+    rows += [(1000, None, None), (1001, "", "xx"), (None, "nasty", "en")]
+    labels += [(None, 1), (5000, 1), (1001, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    scored = {r.doc_id: r.score for r in toxicity.scored(frame, model).collect()}
+    assert len(scored) == len(rows)
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([(scored[i] >= 0.5) == (i % 3 == 0) for i in held]) > 0.95
+    assert all(0 <= s <= 1 for s in scored.values())
+    untrained = toxicity.fit(frame, spark.createDataFrame([], "doc_id bigint, toxic int"))
+    assert toxicity.scored(frame, untrained).count() == len(rows)
+
+
+def test_pseudonyms(spark):
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    text = (
+        "Card 4539 1488 0343 6467, phone +1 (415) 555-2671, mail ann.lee7@mail.example.com at 192.168.7.9 on 2024-02-29 or "
+        "29.02.2024; ssn 123-45-6789; not a card 4539148803436468, 999.1.1.1, 2023-02-30. token = 'deadbeef01234567'"
+    )
+    rows = [(1, text), (2, "again 4539-1488-0343-6467 and ann.lee7@mail.example.com"), (3, None), (4, ""), (5, "no numbers here")]
+    made = {r.doc_id: r.text for r in pii.pseudonymised(spark.createDataFrame(rows, "doc_id bigint, text string"), "k").collect()}
+    new = made[1]
+    card = re.search(r"Card ([\d ]{19}),", new).group(1)
+    assert card != "4539 1488 0343 6467"
+    assert luhn(card.replace(" ", ""))
+    assert card.replace(" ", "-") in made[2]
+    mail = re.search(r"mail (\S+@mail\.example\.com)", new).group(1)
+    assert mail in made[2]
+    assert re.fullmatch(r"[a-z]{3}\.[a-z]{3}\d@mail\.example\.com", mail)
+    assert re.search(r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4},", new)
+    assert all(int(x) <= 255 for x in re.search(r" at (\S+) on", new).group(1).split("."))
+    first, second = re.search(r" on (\S+) or (\S+);", new).groups()
+    assert first.split("-") == second.split(".")[::-1]
+    assert first != "2024-02-29"
+    assert "4539148803436468, 999.1.1.1, 2023-02-30." in new
+    assert re.search(r"token = '[0-9a-f]{16}'", new)
+    assert (made[3], made[4], made[5]) == (None, "", "no numbers here")
+
+
+def test_permutation_is_one_to_one(spark):
+    side = lambda n: F.lit(n).cast("bigint")
+    for a, b in ((189, 773), (10, 10), (1, 7)):
+        values = spark.range(a * b).select(pii.permuted(F.col("id"), side(a), side(b), "key", "kind").alias("v"))
+        assert sorted(r.v for r in values.collect()) == list(range(a * b))
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(400, 16)).astype(np.float32)
+    vectors[50:90] = vectors[40]
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(vectors)]
+    odd = [(1000, None, 0), (1020, [0.0] * 16, 0), (1040, [None] + [1.0] * 15, 0), (1060, [float("nan")] + [1.0] * 15, 0), (None, [1.0] * 16, 0), (1080, [1.0], 0)]
+    frame = spark.createDataFrame(rows + odd, "vec_id bigint, embedding array<float>, label int")
+    found = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(found) == set(range(0, 400, 20))
+    exact, hit = vectors.astype(np.float64), 0
+    for q, own in found.items():
+        score = exact @ exact[q]
+        score[q] = -np.inf
+        best = np.lexsort((np.arange(400), -score))[:20]
+        assert [r for r, _, _ in sorted(own)] == list(range(1, 21))
+        assert all(s == pytest.approx(score[v], abs=1e-12) for _, v, s in own)
+        hit += len({v for _, v, _ in own} & set(best.tolist()))
+    assert hit >= 0.9 * 20 * len(found)
+    assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
