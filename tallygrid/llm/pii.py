@@ -4,7 +4,8 @@ Validated numbers and dates are permuted within their format by a keyed Feistel
 the values that the format allows, so a pseudonym is valid again and equal values stay equal across
 documents and spellings:
 
-    card      13 to 19 digits with a valid Luhn digit; the first digit stays, the last is computed anew
+    card      13 to 19 digits with a valid Luhn digit; the first digit stays, the last is computed anew;
+              digit groups before or behind a valid card stay
     phone     +1 numbers (area and exchange 200 to 999); other + numbers keep their first two digits
     address   IPv4, all of 2^32
     ssn       000-00-0000 but for area 000, 666, 9xx, group 00, serial 0000
@@ -95,6 +96,27 @@ def _card(text: Column, key: str) -> Column:
     return F.when(F.call_function("luhn_check", d), _refilled(text, F.concat(payload, last.cast("string")))).otherwise(text)
 
 
+def _cards(text: Column, key: str) -> Column:
+    """``text`` with the longest valid card of whole digit groups in it replaced, the first of equally long ones."""
+    at = F.sequence(F.lit(1), F.length(text))
+    starts = F.filter(at, lambda i: F.substring(F.concat(F.lit(" "), text), i, F.lit(2)).rlike("^[ -][0-9]"))
+    ends = F.filter(at, lambda i: F.substring(F.concat(text, F.lit(" ")), i, F.lit(2)).rlike("^[0-9][ -]"))
+
+    def run(first: Column, last: Column) -> Column:
+        own = F.substring(text, first, last - first + 1)
+        return F.struct(F.length(_digits(own)).alias("n"), (-first).alias("before"), own.alias("own"))
+
+    runs = F.flatten(F.transform(starts, lambda first: F.transform(ends, lambda last: run(first, last))))
+    valid = F.filter(runs, lambda r: r["n"].between(13, 19) & F.call_function("luhn_check", _digits(r["own"])))
+    best = F.slice(F.sort_array(valid, asc=False), 1, 1)
+
+    def replaced(r: Column) -> Column:
+        end = F.length(r["own"]) - r["before"]
+        return F.concat(F.substring(text, F.lit(1), -r["before"] - 1), _card(r["own"], key), F.substring(text, end, F.length(text)))
+
+    return F.coalesce(F.get(F.transform(best, replaced), F.lit(0)), text)
+
+
 def _phone(text: Column, key: str) -> Column:
     d = _digits(text)
     n = F.length(d)
@@ -204,7 +226,7 @@ def pseudonym(match: Column, key: str) -> Column:
         .when(whole(_ADDRESS), _address(match, key))
         .when(whole(_DATE), _date(match, key))
         .when(whole(_SSN), _ssn(match, key))
-        .when(whole(_CARD) & F.call_function("luhn_check", _digits(match)), _card(match, key))
+        .when(whole(_CARD), _cards(match, key))
         .when(whole(_PHONE), _phone(match, key))
         .otherwise(match)
     )

@@ -311,6 +311,18 @@ def test_secrets_without_digits(spark):
         assert new in made[9].text
 
 
+def test_card_among_other_digits(spark):
+    card = "4111 1111 1111 1111"
+    texts = [card, f"{card} 12/27", f"{card} 123", f"12 {card}", f"on {card} 07-31, then", "4222 2222 2222 2 99", "4111 1111 1111 1112 12"]
+    made = {r.doc_id: r.text for r in pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "k").collect()}
+    assert made[0] != card
+    for i in (1, 2, 3, 4):
+        assert made[i] == texts[i].replace(card, made[0])
+    assert re.fullmatch(r"4\d{3} \d{4} \d{4} \d 99", made[5])
+    assert made[5] != texts[5]
+    assert made[6] == texts[6]
+
+
 def test_permutation_is_one_to_one(spark):
     side = lambda n: F.lit(n).cast("bigint")
     for a, b in ((189, 773), (10, 10), (1, 7)):
