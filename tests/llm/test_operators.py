@@ -186,6 +186,49 @@ def test_line_dedup(spark):
     assert empty.count() == 0
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_near_lines_go(spark):
+    """Recall of similar pairs against edit similarity in plain Python; lines of one pair meet no other."""
+    rng = np.random.default_rng(8)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    word = lambda: "".join(rng.choice(letters, rng.integers(3, 9)))
+    rows, similar = [(0, SENTENCE), (1, SENTENCE.replace("lazy", "lazi"))], {1: "word"}
+    for n in range(2, 400, 2):
+        own = [word() for _ in range(rng.choice([10, 15, 20, 30]))]
+        text, kind = " ".join(own), ("word", "typos")[n // 2 % 2]
+        if kind == "word":
+            own[rng.integers(len(own))] = word()
+            other = " ".join(own)
+        else:
+            at = rng.choice(len(text), max(1, len(text) // 20), replace=False)
+            other = "".join("#" if i in at else c for i, c in enumerate(text))
+        rows += [(n, text), (n + 1, other)]
+        if 5 * edits(text, other) <= max(len(text), len(other)):
+            similar[n + 1] = kind
+    gone = {r.doc_id for r in lines.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string")).where("n_dropped > 0").collect()}
+    assert gone <= set(similar)
+    recall = {k: np.mean([d in gone for d, own in similar.items() if own == k]) for k in ("word", "typos")}
+    print(recall, len(similar))
+    assert 1 in gone
+    assert min(recall.values()) >= 0.95
+
+
+def test_allowed_edits_are_whole(spark):
+    pairs = [("abcdefghij", "abcdefghXY"), ("abcdefghij", "abcdefgXYZ"), ("a" * 15, "a" * 12), ("a" * 35, "a" * 28), ("a" * 35, "a" * 27)]
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    both = lines._similar(F.col("a"), F.col("b")), lines._alike_in_size(F.length("a"), F.length("b"))
+    found = frame.select("a", "b", *[c.alias(n) for c, n in zip(both, ("near", "alike"), strict=True)]).collect()
+    assert [(r.near, r.alike) for r in found] == [(True, True), (False, True), (True, True), (True, True), (False, False)]
+
+
 def test_outlier_counts_and_verdicts(spark, docs):
     judged = outliers.judged(docs).collect()
     assert len(judged) == docs.count()
