@@ -229,6 +229,13 @@ def test_allowed_edits_are_whole(spark):
     assert [(r.near, r.alike) for r in found] == [(True, True), (False, True), (True, True), (True, True), (False, False)]
 
 
+def test_lines_without_blanks(spark):
+    long, tabbed = "这是一个没有任何空格的很长的句子用来测试重复行的删除", "a\tb\tc\td\te"
+    rows = [(1, long), (2, long), (3, tabbed), (4, tabbed)]
+    found = {r.doc_id: r.n_dropped for r in lines.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == {1: 0, 2: 1, 3: 0, 4: 1}
+
+
 def test_outlier_counts_and_verdicts(spark, docs):
     judged = outliers.judged(docs).collect()
     assert len(judged) == docs.count()
