@@ -4,8 +4,8 @@ Equal vectors are one node, whose smallest ids are kept for the answer. A first
 blocks of vectors that are close in a few sorted orders of random sign codes. Then, round by round, the
 neighbours of each node and its best reverse neighbours are introduced to each other, until few lists
 change. All sets are bounded by the list length, so a vector that everything is close to makes no
-large group. The graph is built on 8-bit copies of the vectors; what a search finds is scored with the
-originals in double precision.
+large group. Inner products are taken of the vectors themselves, in double precision; those of the
+graph are rounded to ``BITS`` bits, so that a pair has one value wherever it meets.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ BEAM = 160
 OPENED = 32
 EXACT = 40
 SALTS = 16
+BITS = 26
 
-_NEIGHBOURS = "array<struct<s:int,b:bigint>>"
+_NEIGHBOURS = "array<struct<s:double,b:bigint>>"
 
 
 def _valid(vectors: DataFrame) -> DataFrame:
@@ -51,30 +52,34 @@ def _valid(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("v") == (sizes.n if sizes else 0))
 
 
-def _quantised(nodes: DataFrame, largest: float) -> DataFrame:
-    """(node, vec binary): components as signed bytes."""
+def _coded(nodes: DataFrame) -> DataFrame:
+    """(node, vec binary): components as float32."""
 
-    def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            flat = batch.column(1).flatten().to_numpy().reshape(len(batch), -1)
-            small = np.rint(flat.astype(np.float64) * (127 / largest)).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _binary(small)], ["node", "vec"])
+            flat = batch.column(1).flatten().to_numpy().astype(np.float32).reshape(len(batch), -1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), _binary(flat)], ["node", "vec"])
 
-    return nodes.select("node", "v").mapInArrow(scale, "node bigint, vec binary")
+    return nodes.select("node", "v").mapInArrow(code, "node bigint, vec binary")
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
-    offsets = (np.arange(len(rows) + 1) * rows.shape[1]).astype(np.int32)
+    offsets = (np.arange(len(rows) + 1) * rows.shape[1] * rows.itemsize).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    """Equally long binaries as rows of float32."""
+    """Equally long binaries of float32 as rows of doubles."""
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.int8)[offsets[0] : offsets[-1]]
-    return data.reshape(len(column), -1).astype(np.float32)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.float32)
+    return data.reshape(len(column), -1).astype(np.float64)
+
+
+def _products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    part, power = np.frexp(x @ y)
+    return np.ldexp(np.rint(part * (1 << BITS)) / (1 << BITS), power) + 0.0
 
 
 def _best(a: np.ndarray, s: np.ndarray, b: np.ndarray, most: int) -> pa.RecordBatch:
@@ -88,7 +93,7 @@ def _best(a: np.ndarray, s: np.ndarray, b: np.ndarray, most: int) -> pa.RecordBa
     place = np.arange(len(a)) - np.repeat(first, np.diff(np.append(first, len(a))))
     keep = place < most
     return pa.RecordBatch.from_arrays(
-        [pa.array(a[keep]), pa.array(s[keep].astype(np.int32)), pa.array(b[keep])], ["a", "s", "b"]
+        [pa.array(a[keep]), pa.array(s[keep].astype(np.float64)), pa.array(b[keep])], ["a", "s", "b"]
     )
 
 
@@ -122,21 +127,21 @@ def _first_pairs(vectors: DataFrame, width: int) -> DataFrame:
                 for begin in range(0, len(batch), BLOCK):
                     block = batch.slice(max(0, min(begin, len(batch) - BLOCK)), BLOCK)
                     ids, x = block.column(0).to_numpy(), _matrix(block.column(1))
-                    sims = x @ x.T
+                    sims = _products(x, x.T)
                     np.fill_diagonal(sims, -np.inf)
                     k = min(LIST, len(ids) - 1)
                     if k < 1:
                         continue
                     top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
                     own = np.arange(len(ids))[:, None]
-                    yield _best(np.repeat(ids, k), sims[own, top].ravel().astype(np.int64), ids[top].ravel(), k)
+                    yield _best(np.repeat(ids, k), sims[own, top].ravel(), ids[top].ravel(), k)
 
         pairs = (
             vectors.mapInArrow(coded, "node bigint, vec binary, code bigint, along double")
             .repartitionByRange(parts, "code", "along", "node")
             .sortWithinPartitions("code", "along", "node")
             .select("node", "vec")
-            .mapInArrow(paired, "a bigint, s int, b bigint")
+            .mapInArrow(paired, "a bigint, s double, b bigint")
         )
         out = pairs if out is None else out.unionByName(pairs)
     return out
@@ -159,7 +164,7 @@ def _introduced(graph: DataFrame) -> DataFrame:
     around = edges.select("y", "c", "new").unionByName(_top_reverse(edges))
     around = around.unionByName(graph.select(F.col("node").alias("y"), F.col("node").alias("c"), F.lit(False).alias("new")))
     around = around.groupBy("y", "c").agg(F.bool_or("new").alias("new"))
-    worst = F.when(F.size("nbrs") < LIST, F.lit(-(1 << 31)).cast("int")).otherwise(F.element_at("nbrs", -1)["s"])
+    worst = F.when(F.size("nbrs") < LIST, F.lit(float("-inf"))).otherwise(F.element_at("nbrs", -1)["s"])
     known = graph.select(F.col("node").alias("c"), "vec", worst.alias("worst"))
     sets = around.join(known, "c").groupBy("y").agg(F.collect_list(F.struct("c", "vec", "worst", "new")).alias("m"))
 
@@ -172,7 +177,7 @@ def _introduced(graph: DataFrame) -> DataFrame:
                 if not new.any():
                     continue
                 x = _matrix(own.field(1))
-                sims = x @ x.T
+                sims = _products(x, x.T)
                 gain = sims > worst[:, None]
                 gain &= new[:, None] | new[None, :]
                 np.fill_diagonal(gain, False)
@@ -182,16 +187,16 @@ def _introduced(graph: DataFrame) -> DataFrame:
                 value = sims[np.arange(len(ids))[:, None], top]
                 row, col = np.nonzero(np.isfinite(value))
                 a.append(ids[row])
-                s.append(value[row, col].astype(np.int64))
+                s.append(value[row, col])
                 b.append(ids[top[row, col]])
             if a:
                 yield _best(np.concatenate(a), np.concatenate(s), np.concatenate(b), LIST)
 
-    return sets.select("m").mapInArrow(introduce, "a bigint, s int, b bigint")
+    return sets.select("m").mapInArrow(introduce, "a bigint, s double, b bigint")
 
 
 def neighbour_graph(vectors: DataFrame, width: int, scratch: Scratch) -> DataFrame:
-    """(node, vec, nbrs) of all nodes (node, vec): neighbours and inner products of the 8-bit vectors, best first."""
+    """(node, vec, nbrs) of all nodes (node, vec): neighbours and inner products, best first."""
     first = _listed(_first_pairs(vectors, width))
     ids = F.transform("nbrs", lambda n: n["b"])
     start = vectors.join(first.withColumnRenamed("a", "node"), "node", "left").withColumn(
@@ -231,7 +236,7 @@ def search(graph: DataFrame, starts: DataFrame, scratch: Scratch) -> DataFrame:
     lists = graph.select("node", F.explode("nbrs").alias("n")).select("node", F.col("n.b").alias("b"))
     seen = lists.join(graph.select(F.col("node").alias("b"), "vec"), "b")
     around = scratch.keep(seen.groupBy("node").agg(F.collect_list(F.struct("b", "vec")).alias("around")), "around")
-    own = F.array(F.struct(F.lit((1 << 31) - 1).cast("int").alias("s"), F.col("node").alias("b")))
+    own = F.array(F.struct(F.lit(float("inf")).alias("s"), F.col("node").alias("b")))
     state = scratch.keep(
         graph.join(starts, "node").select(
             "node", F.col("vec").alias("q"), _merged_beam(own, F.col("nbrs")).alias("beam"), F.array("node").alias("opened")
@@ -247,7 +252,7 @@ def search(graph: DataFrame, starts: DataFrame, scratch: Scratch) -> DataFrame:
                 near = members.values
                 ids = near.field(0).to_numpy()
                 a.append(np.full(len(ids), batch.column(0)[i].as_py()))
-                s.append((_matrix(near.field(1)) @ queries[i]).astype(np.int64))
+                s.append(_products(_matrix(near.field(1)), queries[i]))
                 b.append(ids)
             if a:
                 yield _best(np.concatenate(a), np.concatenate(s), np.concatenate(b), BEAM)
@@ -258,14 +263,14 @@ def search(graph: DataFrame, starts: DataFrame, scratch: Scratch) -> DataFrame:
         todo = state.withColumn("next", F.slice(closed, 1, OPENED))
         front = todo.where(F.size("next") > 0).select("node", "q", F.explode("next").alias("at"))
         met = front.join(around.withColumnRenamed("node", "at"), "at").select("node", "q", "around")
-        found = _listed(met.mapInArrow(look, "a bigint, s int, b bigint"), BEAM)
+        found = _listed(met.mapInArrow(look, "a bigint, s double, b bigint"), BEAM)
         step += 1
         after = todo.join(found.select(F.col("a").alias("node"), F.col("nbrs").alias("more")), "node", "left").select(
             "node",
             "q",
             F.filter(
                 _merged_beam(F.col("beam"), F.coalesce("more", F.array().cast(_NEIGHBOURS))),
-                lambda n: (n["b"] != F.col("node")) | (n["s"] == (1 << 31) - 1),
+                lambda n: (n["b"] != F.col("node")) | (n["s"] == float("inf")),
             ).alias("beam"),
             F.array_union("opened", "next").alias("opened"),
             (F.size("next") > 0).alias("moved"),
@@ -290,8 +295,8 @@ def nearest(vectors: DataFrame, queries: Column, most: int = 20, scratch: Scratc
         F.min("vec_id").alias("node"), F.slice(F.array_sort(F.collect_set("vec_id")), 1, most + 1).alias("members")
     )
     classes = scratch.keep(classes.select("node", "v", "members"), "classes")
-    largest, width = rows.agg(F.max(F.array_max(F.transform("v", F.abs))), F.max(F.size("v"))).first()
-    coded = scratch.keep(_quantised(classes, float(largest or 1.0)), "coded")
+    width = rows.agg(F.max(F.size("v"))).first()[0]
+    coded = scratch.keep(_coded(classes), "coded")
     graph = neighbour_graph(coded, width or 0, scratch)
     asked = scratch.keep(rows.where(queries).select(F.col("vec_id").alias("query_id"), "v").join(classes.select("v", "node"), "v"), "asked")
     beams = search(graph, asked.select("node").distinct(), scratch)

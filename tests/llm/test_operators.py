@@ -401,3 +401,19 @@ def test_nearest(spark):
         hit += len({v for _, v, _ in own} & set(best.tolist()))
     assert hit >= 0.9 * 20 * len(found)
     assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_nearest_beside_a_very_large_vector(spark):
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(300, 16)).astype(np.float32)
+    vectors[7] *= 1e5
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>")
+    found = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    exact, hit = vectors.astype(np.float64), 0
+    for q in range(0, 300, 20):
+        score = exact @ exact[q]
+        score[q] = -np.inf
+        hit += len(found[q] & set(np.argsort(-score)[:20].tolist()))
+    assert hit >= 0.9 * 20 * 15
