@@ -54,7 +54,7 @@ STAGES = [
     ("packed", packed),
 ]
 
-#: SQL can't express these stages; tests hold them against brute force.
+#: SQL can't express these stages; tests/llm holds their operators, not the chain, against plain Python.
 ORACLE_SQL = None
 
 
