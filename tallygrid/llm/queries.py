@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import bpe, brown, huffman, lines, neighbours, outliers, packing, pii, simhash, toxicity
+from tallygrid.llm import bpe, brown, divergence, huffman, lines, neighbours, outliers, packing, pii, simhash, topk, toxicity, trie
 from tallygrid.llm.storage import Scratch, import_on_workers
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -80,6 +80,21 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import_on_workers(spark)
+    return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import_on_workers(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     return {
         "op9_robust_outliers": (op9_robust_outliers, None),
@@ -92,4 +107,7 @@ def registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
         "op10_nn_descent": (op10_nn_descent, None),
         "op6_huffman_files": (op6_huffman_files, None),
         "op2_best_fit_packing": (op2_best_fit_packing, None),
+        "op11_prefix_trie": (op11_prefix_trie, trie.SQL),
+        "op12_term_at_a_time": (op12_term_at_a_time, topk.SQL),
+        "op13_source_divergence": (op13_source_divergence, divergence.SQL),
     }
