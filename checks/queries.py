@@ -28,6 +28,7 @@ from tallygrid.functions.conditions import null_or_zero
 from tallygrid.functions.dates import same_month
 from tallygrid.functions.ratios import safe_divide
 from tallygrid.operators.freshness import attach_refresh, refresh_select
+from tallygrid.operators.keys import extended_keys, grid_of_keys, key_rows
 from tallygrid.plans import catalog
 from tallygrid.sources.tables import parquet_tables
 from tallygrid.spec import ControlSpec, KeysOf, Rule
@@ -324,8 +325,8 @@ def stored_scaffold_counts_sql() -> str:
 
 def refresh_view_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the stored freshness view: its own SELECT, over the metadata."""
-    stand_in_metadata(spark, sf_dir).createOrReplaceTempView("refresh_view_metadata")
-    rows = spark.sql(refresh_select(catalog.REFRESH_SOURCES, "refresh_view_metadata"))
+    select = refresh_select(catalog.REFRESH_SOURCES, "{metadata}", braces=True)
+    rows = spark.sql(select, metadata=stand_in_metadata(spark, sf_dir))
     return rows.select("control", F.unix_millis("last_refresh_time").alias("last_refresh_ms"))
 
 
@@ -389,6 +390,21 @@ def supplier_counts_sql() -> str:
     return f"SELECT control, control_date, metric, metric_detail, control_count FROM ({rows})"
 
 
+def key_registry(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The grid of a control from a registry: keys of the days up to a cut, extended by the days after it."""
+    spec = shapes()[name]
+    source = parquet_tables(spark, sf_dir)(spec.source)
+    cut = FULL[0] - dt.timedelta(days=FULL[1] // 2)
+    before = key_rows(source.where(F.col(spec.date).cast("date") <= F.lit(cut)), spec)
+    return grid_of_keys(extended_keys(before, source, spec, cut), spec)
+
+
+def key_registry_sql(name: str) -> str:
+    """The distinct keys of the whole history, with the metrics that have a value anywhere."""
+    control = oracle.shape_controls()[name]
+    return f"SELECT DISTINCT control, metric, metric_detail FROM ({oracle.grid_sql([control])})"
+
+
 def unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two nullable columns of every line to rows; NULLs give no row."""
     lines = parquet_tables(spark, sf_dir)("lineitem").select(
@@ -489,6 +505,8 @@ def registry() -> dict[str, tuple[Query, str]]:
         "refresh_view_rows": (refresh_view_rows, refresh_sql()),
         "decimal_measure_shared_full": (decimal_measure_shared, decimal_measure_shared_sql()),
         "supplier_keys_counts": (supplier_counts, supplier_counts_sql()),
+        "key_registry_sums": (partial(key_registry, name="derived_detail_sum_lines"), key_registry_sql("derived_detail_sum_lines")),
+        "key_registry_unpivot": (partial(key_registry, name="unpivot_measures_lines"), key_registry_sql("unpivot_measures_lines")),
         "unpivot_nonnull": (unpivot, unpivot_sql()),
         "unpivot_labels": (unpivot_labels, unpivot_labels_sql()),
         "scalar_functions": (scalar_functions, scalar_functions_sql()),

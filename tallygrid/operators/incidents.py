@@ -21,8 +21,9 @@ from tallygrid.spec import ControlSpec, Rule, checked
 # share a scan with the other rules of its source, up to this many categories.
 SPELLED_OUT_CELLS = 16
 
-# Decimal measures are rounded to this type before they are summed, and sums stay in it.
-DECIMAL_SUM = "decimal(38,6)"
+# Digits of the sums of decimal measures. Their scale is at least this and never less than the measure's, so nothing is rounded.
+DECIMAL_DIGITS = 38
+LEAST_SCALE = 6
 
 
 @dataclass(frozen=True, eq=False)
@@ -85,7 +86,7 @@ def source_incidents(
     their categories are spelled out, so all of them share one pass over the source.
     """
     rules = [(spec, rule) for spec in specs for rule in spec.rules]
-    kinds = _measure_kinds(source, [rule for _, rule in rules])
+    kinds = measure_kinds(source, [rule for _, rule in rules])
     same = _SameColumn(source)
     scans: dict[tuple, list[_Counter]] = {}
     for (spec, rule), kind in zip(rules, kinds, strict=True):
@@ -193,12 +194,13 @@ def _text(value: str | Column) -> Column:
     return F.lit(value) if isinstance(value, str) else value.cast("string")
 
 
-def _measure_kinds(source: DataFrame, rules: Sequence[Rule]) -> list[str]:
-    """Type of each rule's weight and of its sums: bigint for counts and integer measures, ``DECIMAL_SUM``
-    for decimals of any precision, double for the rest.
+def measure_kinds(source: DataFrame, rules: Sequence[Rule]) -> list[str]:
+    """Type of each rule's weight and of its sums: bigint for counts and integer measures, the widest decimal of
+    the measure's scale for decimals, double for the rest.
 
     The type is kept through every sum, so it depends neither on how many cells a control has nor on
-    the other controls of its source. The union of all controls takes the widest of the three.
+    the other controls of its source. The union of all controls takes the widest type of them; a sum that has more digits than
+    that type is an error and never cut.
     """
     measured = [rule.measure for rule in rules if rule.measure is not None]
     if not measured:
@@ -206,6 +208,10 @@ def _measure_kinds(source: DataFrame, rules: Sequence[Rule]) -> list[str]:
     fields = iter(source.select(*[measure.alias(f"m{i}") for i, measure in enumerate(measured)]).schema.fields)
     types = [T.LongType() if rule.measure is None else next(fields).dataType for rule in rules]
     return [
-        "bigint" if isinstance(kind, T.IntegralType) else DECIMAL_SUM if isinstance(kind, T.DecimalType) else "double"
+        "bigint"
+        if isinstance(kind, T.IntegralType)
+        else f"decimal({DECIMAL_DIGITS},{max(LEAST_SCALE, kind.scale)})"
+        if isinstance(kind, T.DecimalType)
+        else "double"
         for kind in types
     ]

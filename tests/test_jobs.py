@@ -12,6 +12,7 @@ from tallygrid import ControlSpec, RefreshSource, Rule, file_refresh_times, refr
 from tallygrid.operators.freshness import BROADCAST_ROWS, attach_refresh
 from tallygrid.plans.jobs import define_refresh_view, refresh_scaffold, refresh_unified, stored_span
 from tallygrid.plans.unified import UNIFIED
+from tallygrid.sinks import tables
 from tallygrid.sinks.tables import replace_table, replace_view
 from tallygrid.sources.tables import catalog_tables
 from tests.helpers import AS_OF, day, plan_text
@@ -100,37 +101,154 @@ def test_failed_write_leaves_the_old_table(spark, stored):
     assert "incident_rows" in {t.name for t in spark.catalog.listTables("monitor")}
 
 
-def test_failed_swap_gives_the_old_table_its_name_back(spark, stored, monkeypatch):
-    replace_table(spark.range(3), "monitor.swapped")
-    run = type(spark).sql
+def names(spark):
+    return {t.name for t in spark.catalog.listTables("monitor")}
 
-    def failing(self, query, *args, **more):
-        if "__staging_" in query and "RENAME TO" in query:
-            raise ValueError("lost")
-        return run(self, query, *args, **more)
 
-    monkeypatch.setattr(type(spark), "sql", failing)
-    with pytest.raises(ValueError, match="lost"):
-        replace_table(spark.range(5), "monitor.swapped")
-    monkeypatch.undo()
-    assert spark.table("monitor.swapped").count() == 3
-    assert not [t.name for t in spark.catalog.listTables("monitor") if "__" in t.name]
+def versions(spark, table):
+    """Files and folders beside the table: its versions and claims."""
+    state = spark._jsparkSession.sessionState()
+    usual = state.catalog().defaultTablePath(state.sqlParser().parseTableIdentifier(table)).toString().removeprefix("file:")
+    held = os.listdir(f"{usual}__versions") if os.path.isdir(f"{usual}__versions") else []
+    return sorted(name for name in held if not name.startswith("."))  # the local file system's checksums
+
+
+@pytest.fixture
+def failing(spark, monkeypatch):
+    """Makes the first SQL statement that holds a text fail, before or after it is run."""
+
+    def arm(text, after=False):
+        run, state = type(spark).sql, {"armed": True}
+
+        def sql(self, query, *args, **more):
+            if state["armed"] and text in query:
+                state["armed"] = False
+                if after:
+                    run(self, query, *args, **more)
+                raise ValueError("lost")
+            return run(self, query, *args, **more)
+
+        monkeypatch.setattr(type(spark), "sql", sql)
+
+    return arm
+
+
+@pytest.mark.parametrize("columns", [(), ("part",), ("part", "half")])
+def test_replaced_tables_read_back_all_rows(spark, stored, columns):
+    rows = spark.range(8).selectExpr("id", "CAST(id % 2 AS INT) AS part", "IF(id % 4 = 3, NULL, CONCAT('0', id % 4)) AS half")
+    for n in (8, 5, 3):
+        replace_table(rows.where(F.col("id") < n), "monitor.parted", columns)
+        table = spark.table("monitor.parted").select("id", "part", "half")
+        assert sorted(map(tuple, table.collect())) == sorted(map(tuple, rows.where(F.col("id") < n).collect()))
+        assert tuple(c.name for c in spark.catalog.listColumns("monitor.parted") if c.isPartition) == columns
+    # The version before is left for readers that have begun; the first one is gone.
+    assert len(versions(spark, "monitor.parted")) == 2
+    replace_table(rows.where("false"), "monitor.parted")
+    assert spark.table("monitor.parted").count() == 0
+    replace_table(rows, "monitor.parted")
+    assert spark.table("monitor.parted").where("part = 1").count() == 4
+
+
+def test_readers_that_have_begun_end_on_the_old_rows(spark, stored):
+    replace_table(spark.range(3), "monitor.read")
+    begun = spark.table("monitor.read")
+    assert begun.count() == 3
+    replace_table(spark.range(5), "monitor.read")
+    assert begun.count() == 3
+    assert spark.table("monitor.read").count() == 5
 
 
 def test_replacing_keeps_partitions_and_properties(spark, stored):
+    """Also of a table that was made without this library, with its partitions in the catalog."""
     rows = spark.range(4).selectExpr("id", "CAST(id % 2 AS INT) AS part")
     rows.write.partitionBy("part").saveAsTable("monitor.parted")
     spark.sql("ALTER TABLE monitor.parted SET TBLPROPERTIES ('keeper' = 'it\\'s')")
-    replace_table(rows.where("id > 1"), "monitor.parted")
-    assert [c.name for c in spark.catalog.listColumns("monitor.parted") if c.isPartition] == ["part"]
-    assert {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES monitor.parted").collect()}["keeper"] == "it's"
-    assert spark.table("monitor.parted").count() == 2
-
-
-def test_quoted_names_can_be_replaced(spark, stored):
-    for n in (2, 3):
-        replace_table(spark.range(n), "monitor.`my-t`")
-    assert spark.table("monitor.`my-t`").count() == 3
+    for least in (2, 1):
+        replace_table(rows.where(F.col("id") >= least), "monitor.parted")
+        assert [c.name for c in spark.catalog.listColumns("monitor.parted") if c.isPartition] == ["part"]
+        assert {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES monitor.parted").collect()}["keeper"] == "it's"
+        assert spark.table("monitor.parted").count() == 4 - least
+    assert "parted" in names(spark) and not [n for n in names(spark) if "__" in n]
+
+
+def test_columns_may_change(spark, stored):
+    replace_table(spark.range(3), "monitor.changing")
+    replace_table(spark.range(2).selectExpr("id AS b", "'x' AS a"), "monitor.changing")
+    assert spark.table("monitor.changing").columns == ["b", "a"]
+    assert spark.table("monitor.changing").count() == 2
+    assert not [n for n in names(spark) if "__" in n]
+
+
+@pytest.mark.parametrize(("text", "after"), [("SET LOCATION", False), ("SET LOCATION", True)])
+def test_fault_while_pointing_at_the_new_version(spark, stored, failing, text, after):
+    replace_table(spark.range(4).selectExpr("id", "id % 2 AS part"), "monitor.swapped", ["part"])
+    failing(text, after)
+    with pytest.raises(ValueError, match="lost"):
+        replace_table(spark.range(6).selectExpr("id", "id % 2 AS part"), "monitor.swapped")
+    spark.catalog.refreshTable("monitor.swapped")
+    assert spark.table("monitor.swapped").count() == (6 if after else 4)
+    assert len(versions(spark, "monitor.swapped")) == (2 if after else 1)
+    replace_table(spark.range(8).selectExpr("id", "id % 2 AS part"), "monitor.swapped")
+    assert spark.table("monitor.swapped").count() == 8
+
+
+@pytest.mark.parametrize(
+    ("text", "after"),
+    [("CREATE TABLE", False), ("CREATE TABLE", True), ("SET TBLPROPERTIES", False), ("__old_", False), ("RENAME TO `monitor`.`swapped`", False)],
+)
+def test_fault_while_names_change(spark, stored, failing, text, after):
+    spark.range(4).selectExpr("id", "id % 2 AS part").write.partitionBy("part").saveAsTable("monitor.swapped")
+    spark.sql("ALTER TABLE monitor.swapped SET TBLPROPERTIES ('keeper' = 'yes')")
+    failing(text, after)
+    with pytest.raises(ValueError, match="lost"):
+        replace_table(spark.range(6).selectExpr("id", "id % 2 AS part"), "monitor.swapped")
+    assert spark.table("monitor.swapped").count() == 4
+    assert not [n for n in names(spark) if "__" in n]
+    assert versions(spark, "monitor.swapped") == []
+    replace_table(spark.range(8).selectExpr("id", "id % 2 AS part"), "monitor.swapped")
+    assert spark.table("monitor.swapped").count() == 8
+
+
+def test_of_two_replacements_one_wins(spark, stored, monkeypatch):
+    """The second one is begun and ended while the first one writes."""
+    replace_table(spark.range(2), "monitor.raced")
+    begun = tables._stored
+
+    def late(session, target):
+        found = begun(session, target)
+        monkeypatch.setattr(tables, "_stored", begun)
+        replace_table(spark.range(7), "monitor.raced")
+        return found
+
+    monkeypatch.setattr(tables, "_stored", late)
+    with pytest.raises(tables.ConcurrentReplacement):
+        replace_table(spark.range(3), "monitor.raced")
+    assert spark.table("monitor.raced").count() == 7
+    assert len(versions(spark, "monitor.raced")) == 2
+    assert not [n for n in names(spark) if "__" in n]
+
+
+def test_a_claimed_version_is_not_replaced_by_others(spark, stored, monkeypatch):
+    replace_table(spark.range(2), "monitor.raced")
+    base = tables._versions(spark, "`monitor`.`raced`")
+    with tables._claimed(spark, base, tables._stored(spark, "`monitor`.`raced`").location):
+        with pytest.raises(tables.ConcurrentReplacement):
+            replace_table(spark.range(3), "monitor.raced")
+        assert spark.table("monitor.raced").count() == 2
+        assert len(versions(spark, "monitor.raced")) == 2  # the version and the claim on it
+        # The claim of a driver that was lost ends some time.
+        monkeypatch.setattr(tables, "CLAIM_SECONDS", -1)
+        replace_table(spark.range(4), "monitor.raced")
+    assert spark.table("monitor.raced").count() == 4
+
+
+def test_names_that_need_quotes_can_be_replaced(spark, stored):
+    for name in ("monitor.`select`", "monitor.`1t`"):
+        for n in (2, 3):
+            replace_table(spark.range(n), name)
+        assert spark.table(name).count() == 3
+        replace_view(spark, f"{name[:-1]}_view`", f"SELECT * FROM {name}")
+        assert spark.table(f"{name[:-1]}_view`").count() == 3
 
 
 def test_lookup_beyond_the_bound_does_not_rest_on_one_key(spark):
