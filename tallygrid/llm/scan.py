@@ -22,13 +22,12 @@ def running(rows: DataFrame, group: str, order: Sequence[str], xors: Sequence[st
     there are many.
     """
     spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.withColumn("row_no", F.monotonically_increasing_id())
     own = [c for c in dict.fromkeys([group, *xors, *keep])]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join(["part int", *[f"`{c}` {kinds[c]}" for c in own], "n bigint", "tail boolean"])
     sorted_rows = (
-        dealt.repartitionByRange(parts, group, *order, "row_no")
+        dealt.repartitionByRange(group, *order, "row_no")
         .sortWithinPartitions(group, *order, "row_no")
         .select(F.spark_partition_id().alias("part"), *own)
     )

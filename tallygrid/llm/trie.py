@@ -235,7 +235,6 @@ def _segment() -> Column:
 def subtree_totals(tree: DataFrame, scratch: Scratch, limit: int = QUEUED) -> DataFrame:
     """(conv_id, depth, n_children, n_leaves, saved_tokens) of every node of ``tree`` (conv_id, depth, parent_conv_id, leaf, own_saved)."""
     spark = tree.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     zero = F.lit(0).cast("bigint")
     rows = tree.select("conv_id", "depth", "parent_conv_id", F.col("leaf").cast("bigint").alias("leaves"), F.col("own_saved").alias("saved"), F.lit(1).alias("is_node"))
     done, step, messages = [], 0, None
@@ -250,7 +249,7 @@ def subtree_totals(tree: DataFrame, scratch: Scratch, limit: int = QUEUED) -> Da
             rows_now = rows
         shards = (
             rows_now.withColumn("segment", _segment())
-            .repartition(parts, "conv_id", "segment")
+            .repartition("conv_id", "segment")
             .drop("segment")
             .sortWithinPartitions(F.desc("depth"), "conv_id", "is_node")
         )
@@ -277,7 +276,6 @@ def end_hashes(lasts: DataFrame) -> DataFrame:
     Ids are sorted and joined by ranges, in rows of ``CHUNK`` characters; these few rows meet by node and are
     hashed one after the other, so a task holds one of them at a time.
     """
-    parts = int(lasts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     node = ["h1", "h2", "depth"]
 
     def join_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +296,7 @@ def end_hashes(lasts: DataFrame) -> DataFrame:
 
     joined = (
         lasts.select(*node, "conv_id")
-        .repartitionByRange(parts, *node, "conv_id")
+        .repartitionByRange(*node, "conv_id")
         .sortWithinPartitions(*node, "conv_id")
         .mapInArrow(join_ids, "h1 bigint, h2 bigint, depth bigint, first bigint, ids string")
     )
@@ -320,7 +318,7 @@ def end_hashes(lasts: DataFrame) -> DataFrame:
             yield _rows(out, [*node, "ends_sha256"])
 
     return (
-        joined.repartition(parts, *node)
+        joined.repartition(*node)
         .sortWithinPartitions(*node, "first")
         .select(*node, "ids")
         .mapInArrow(digest, "h1 bigint, h2 bigint, depth bigint, ends_sha256 string")
