@@ -92,7 +92,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, firsts: np.ndarray | None, own: i
     if at < len(ids) and ids[at] == own:
         scores, ids = np.delete(scores, at), np.delete(ids, at)
     if len(ids) <= most:
-        return ids, scores
+        return ids, scores.copy()
     least = np.partition(scores, len(scores) - most)[len(scores) - most]
     above = np.flatnonzero(scores > least)
     chosen = np.concatenate((above, np.flatnonzero(scores == least)[: most - len(above)]))
@@ -142,8 +142,8 @@ def top_k(
 
     Rows without a vec_id, and vectors that are null or hold null or non-finite components, take no part; an empty vector
     scores 0. Components that the shorter of two vectors lacks count as 0. Rows that share a vec_id are one
-    item: the best pair of rows counts, and it isn't its own neighbour. Sums beyond 64 bits are exact while they are compared and
-    returned as the nearest 64-bit number. An empty table gives no rows.
+    item: the best pair of rows counts, and it isn't its own neighbour. Sums beyond 64 bits count as the nearest
+    64-bit number. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     scratch = scratch or Scratch(spark, "topk")
