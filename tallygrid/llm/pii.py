@@ -4,14 +4,17 @@ Validated numbers and dates are permuted within their format by a keyed Feistel
 the values that the format allows, so a pseudonym is valid again and equal values stay equal across
 documents and spellings:
 
-    card      13 to 19 digits with a valid Luhn digit; the first digit stays, the last is computed anew;
-              digit groups before or behind a valid card stay
-    phone     +1 numbers (area and exchange 200 to 999); other + numbers keep their first two digits
-    address   IPv4, all of 2^32
+    card      13 to 19 digits with a valid Luhn digit, anywhere in a run of digit groups; the first digit
+              stays, the last is computed anew; the groups around it stay
+    phone     +1 and ten-digit numbers (area and exchange 200 to 999); other + numbers and those with 0 and
+              blanks keep their first two digits
+    address   IPv4, all of 2^32; of IPv6 the digits in their places
     ssn       000-00-0000 but for area 000, 666, 9xx, group 00, serial 0000
-    date      the days of 1800 to 2199 (146,097, one Gregorian cycle), in the order they were written
-    email     letters and digits of the local part, each within its kind
-    secret    letters and digits behind ``password=``, ``token:`` and the like, and of AKIA key names
+    date      the days of 1800 to 2199 (146,097, one Gregorian cycle), in the order they were written; eight
+              digits alone count from 1900 to 2099
+    email     ASCII letters and digits of the local part, each within its kind; other letters stay
+    secret    letters and digits behind ``password=``, ``token:`` and the like, of bearer tokens and of key names
+              that begin with AKIA, ghp_ or sk-
 
 What looks like one of these and isn't valid stays as it is. The key is a literal of the plan, so keep
 plans and event logs as secret as the key.
@@ -26,17 +29,29 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=[A-Za-z]{2})"
-_SECRET = r"""(?<![A-Za-z0-9])(?:[Pp]assword|[Pp]asswd|[Tt]oken|[Aa]pi[_-]?[Kk]ey|[Ss]ecret) ?[=:] ?["']?[A-Za-z0-9_-]{8,}+|(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"""
+_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=[A-Za-z]{2})"
+_SECRET = (
+    r"""(?<![A-Za-z0-9])(?:(?i:password|passwd|pwd|token|api[_-]?key|secret|bearer)(?: ?[=:] ?["']?[A-Za-z0-9_-]{8,}+|=["']?[^\s\p{Z}"'<>,;&]{6,}+)"""
+    r"""|(?i:bearer) (?=[A-Za-z0-9._~+/-]*[0-9])[A-Za-z0-9._~+/-]{16,}+"""
+    r"""|AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{16,}+|sk-[A-Za-z0-9_-]{16,}+)"""
+)
 _ADDRESS = r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
-_DATE = r"(?<![A-Za-z0-9])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?![A-Za-z0-9])"
+_ADDRESS6 = (
+    r"(?<![A-Za-z0-9:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?=[0-9A-Fa-f:]*[0-9])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![A-Za-z0-9:])"
+)
+_DATE = (
+    r"(?<![A-Za-z0-9])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4}"
+    r"|(?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01]))(?![A-Za-z0-9])"
+)
 _SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
 _PHONE = (
     r"(?<![A-Za-z0-9+])(?:(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}"
-    r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5})(?![A-Za-z0-9])"
+    r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}|[2-9][0-9]{2}[2-9][0-9]{6}|0[0-9]{2,4}[ -][0-9]{3,4}[ -][0-9]{3,4})(?![A-Za-z0-9])"
 )
-_CARD = r"(?<![A-Za-z0-9])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9])"
-FOUND = "|".join((_EMAIL, _SECRET, _ADDRESS, _DATE, _SSN, _PHONE, _CARD))
+#: A run of digit groups, in which cards are looked for.
+_CARD = r"(?<![A-Za-z0-9])[0-9][0-9 -]{11,}(?<=[0-9])(?![A-Za-z0-9])"
+FOUND = "|".join((_SECRET, _EMAIL, _ADDRESS, _ADDRESS6, _DATE, _SSN, _PHONE, _CARD))
 
 
 def _mixed(key: str, kind: str, step: Column, value: Column, size: Column) -> Column:
@@ -97,24 +112,53 @@ def _card(text: Column, key: str) -> Column:
 
 
 def _cards(text: Column, key: str) -> Column:
-    """``text`` with the longest valid card of whole digit groups in it replaced, the first of equally long ones."""
-    at = F.sequence(F.lit(1), F.length(text))
-    starts = F.filter(at, lambda i: F.substring(F.concat(F.lit(" "), text), i, F.lit(2)).rlike("^[ -][0-9]"))
-    ends = F.filter(at, lambda i: F.substring(F.concat(text, F.lit(" ")), i, F.lit(2)).rlike("^[0-9][ -]"))
+    """``text``, a run of digit groups, with the valid cards of whole groups in it replaced.
 
-    def run(first: Column, last: Column) -> Column:
-        own = F.substring(text, first, last - first + 1)
-        return F.struct(F.length(_digits(own)).alias("n"), (-first).alias("before"), own.alias("own"))
-
-    runs = F.flatten(F.transform(starts, lambda first: F.transform(ends, lambda last: run(first, last))))
-    valid = F.filter(runs, lambda r: r["n"].between(13, 19) & F.call_function("luhn_check", _digits(r["own"])))
-    best = F.slice(F.sort_array(valid, asc=False), 1, 1)
+    Of cards that overlap the longest one counts, then one with a first digit from 3 to 6, then the first.
+    """
+    groups = F.split(text, "[ -]")
+    count = F.size(groups)
+    joined = lambda first, n: F.array_join(F.slice(groups, first + 1, n), "")
+
+    def starting(first: Column) -> Column:
+        """Cards that begin with a group: one group, or up to five of at least four digits but for the last, as cards are written."""
+        written = lambda n: F.forall(F.slice(groups, first + 1, n - 1), lambda g: F.length(g) >= 4) & joined(first, n).rlike("^[2-6]")
+        valid = F.filter(
+            F.sequence(F.lit(1), F.least(F.lit(5), count - first)),
+            lambda n: F.length(joined(first, n)).between(13, 19) & ((n == 1) | written(n)) & F.call_function("luhn_check", joined(first, n)),
+        )
+        return F.transform(
+            valid,
+            lambda n: F.struct(
+                F.length(joined(first, n)).alias("digits"), joined(first, n).rlike("^[3-6]").cast("int").alias("issuer"), (-first).alias("before"), n.alias("n")
+            ),
+        )
 
-    def replaced(r: Column) -> Column:
-        end = F.length(r["own"]) - r["before"]
-        return F.concat(F.substring(text, F.lit(1), -r["before"] - 1), _card(r["own"], key), F.substring(text, end, F.length(text)))
+    whole = lambda g: (F.length(groups[g]) > 0) & (F.length(joined(g, F.lit(5))) >= 13)
+    starts = F.filter(F.sequence(F.lit(0), count - 1), whole)
+    candidates = F.sort_array(F.flatten(F.transform(starts, starting)), asc=False)
+    kind = "array<struct<digits:int,issuer:int,before:int,n:int>>"
+
+    def chosen(own: Column, card: Column) -> Column:
+        overlaps = F.exists(own, lambda o: (-o["before"] < -card["before"] + card["n"]) & (-card["before"] < -o["before"] + o["n"]))
+        return F.when(overlaps, own).otherwise(F.concat(own, F.array(card)))
+
+    cards = F.aggregate(candidates.cast(kind), F.array().cast(kind), chosen)
+    in_order = F.sort_array(F.transform(cards, lambda c: F.struct((-c["before"]).alias("first"), c["n"].alias("n"))))
+    place = lambda first: F.when(first == 0, 1).otherwise(F.length(F.array_join(F.slice(groups, 1, first), " ")) + 2)
+
+    def replaced(state: Column, card: Column) -> Column:
+        begin = place(card["first"])
+        size = F.length(F.array_join(F.slice(groups, card["first"] + 1, card["n"]), " "))
+        return F.struct(
+            (begin + size).alias("at"),
+            F.concat(state["out"], F.substring(text, state["at"], begin - state["at"]), _card(F.substring(text, begin, size), key)).alias("out"),
+        )
 
-    return F.coalesce(F.get(F.transform(best, replaced), F.lit(0)), text)
+    made = F.aggregate(
+        in_order, F.struct(F.lit(1).alias("at"), F.lit("").alias("out")), replaced, lambda s: F.concat(s["out"], F.substring(text, s["at"], F.length(text)))
+    )
+    return F.when(F.size(cards) > 0, made).otherwise(text)
 
 
 def _phone(text: Column, key: str) -> Column:
@@ -131,9 +175,10 @@ def _phone(text: Column, key: str) -> Column:
         _padded(F.floor(upper / 800) + 200, F.lit(3)), _padded(upper % 800 + 200, F.lit(3)), _padded(v % 10_000, F.lit(4))
     )
     other = F.concat(F.substring(d, 1, 2), _decimal(F.substring(d, F.lit(3), n - 2), key, "phone"))
+    foreign = (text.startswith("+") & (n >= 8) & (n <= 15)) | (text.startswith("0") & n.between(10, 11))
     return (
         F.when(valid, _refilled(text, F.concat(F.substring(d, F.lit(1), n - 10), made)))
-        .when(text.startswith("+") & (n >= 8) & (n <= 15), _refilled(text, other))
+        .when(foreign, _refilled(text, other))
         .otherwise(text)
     )
 
@@ -148,6 +193,19 @@ def _address(text: Column, key: str) -> Column:
     return F.when(reduce(lambda a, b: a & b, [o <= 255 for o in octets]), made).otherwise(text)
 
 
+def _address6(text: Column, key: str) -> Column:
+    """Hexadecimal digits permuted in their places, whatever their case."""
+    digits = F.lower(F.regexp_replace(text, ":", ""))
+    new = _letters(digits, key, "secret")
+
+    def place(i: Column) -> Column:
+        own = F.substring(text, i, F.lit(1))
+        nth = F.length(F.regexp_replace(F.substring(text, F.lit(1), i), ":", ""))
+        return F.when(own == ":", own).otherwise(F.substring(new, nth, F.lit(1)))
+
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), place), "")
+
+
 def _ssn(text: Column, key: str) -> Column:
     d = _digits(text)
     area, group, serial = (F.substring(d, a, b).cast("bigint") for a, b in ((1, 3), (4, 2), (6, 4)))
@@ -167,21 +225,37 @@ def _ssn(text: Column, key: str) -> Column:
 
 
 def _date(text: Column, key: str) -> Column:
-    d = _digits(text)
-    year_first = text.rlike("^[0-9]{4}[^0-9]")
-    month_first = ~year_first & text.contains("/") & (F.substring(d, 1, 2).cast("int") <= 12)
+    """A date in its order and with its separators; days and months get leading zeros where either part had two digits."""
+    parts = F.split(F.regexp_replace(text, "^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1/$2/$3"), "[-/.]")
+    plain = text.rlike("^[0-9]{8}$")
+    separator = F.when(plain, "").otherwise(F.regexp_extract(text, "[-/.]", 0))
+    year_first = plain | text.rlike("^[0-9]{4}[^0-9]")
+    month_first = ~year_first & text.contains("/") & (parts[0].cast("int") <= 12)
+    short = ~F.exists(parts, lambda p: F.length(p) == 2)
+    d = F.array_join(F.transform(parts, lambda p: F.when(F.length(p) == 1, F.concat(F.lit("0"), p)).otherwise(p)), "")
     out = text
-    for chosen, order in ((year_first, "yyyyMMdd"), (month_first, "MMddyyyy"), (~year_first & ~month_first, "ddMMyyyy")):
+    for chosen, order, places in (
+        (year_first, "yyyyMMdd", ((1, 4), (5, 2), (7, 2))),
+        (month_first, "MMddyyyy", ((1, 2), (3, 2), (5, 4))),
+        (~year_first & ~month_first, "ddMMyyyy", ((1, 2), (3, 2), (5, 4))),
+    ):
         day = F.try_to_timestamp(d, F.lit(order)).cast("date")
         first = F.lit("1800-01-01").cast("date")
         v = permuted(
             F.datediff(day, first).cast("bigint"), F.lit(189).cast("bigint"), F.lit(773).cast("bigint"), key, "date"
         )
         valid = chosen & day.between(first, F.lit("2199-12-31").cast("date")) & (F.date_format(day, order) == d)
-        out = F.when(valid, _refilled(text, F.date_format(F.date_add(first, v.cast("int")), order))).otherwise(out)
+        new = F.date_format(F.date_add(first, v.cast("int")), order)
+        shown = [_unpadded(F.substring(new, at, n), short) for at, n in places]
+        made = F.concat(shown[0], separator, shown[1], separator, shown[2])
+        out = F.when(valid, made).otherwise(out)
     return out
 
 
+def _unpadded(part: Column, short: Column) -> Column:
+    return F.when(short, F.regexp_replace(part, "^0", "")).otherwise(part)
+
+
 def _letters(text: Column, key: str, kind: str) -> Column:
     """Letters and ASCII digits shifted within their kind, half by turns under the other half's digest.
 
@@ -218,16 +292,18 @@ def _letters(text: Column, key: str, kind: str) -> Column:
 def pseudonym(match: Column, key: str) -> Column:
     """The pseudonym of one match of ``FOUND``; the match itself where it isn't valid."""
     name = F.substring_index(match, "@", 1)
-    head = F.regexp_extract(match, r"^(?:.*?[=:] ?[\"']?|AKIA)", 0)
+    # What stands before the secret itself.
+    head = F.regexp_extract(match, r"^(?:[A-Za-z_-]+ ?[=:] ?[\"']?|(?i:bearer) |AKIA|gh[pousr]_|sk-)", 0)
     whole = lambda pattern: match.rlike(f"^(?:{pattern})$")
     return (
-        F.when(match.contains("@"), F.concat(_letters(name, key, "email"), F.substring(match, F.length(name) + 1, F.length(match))))
-        .when(match.rlike("[=:]|^AKIA"), F.concat(head, _letters(F.substring(match, F.length(head) + 1, F.length(match)), key, "secret")))
+        F.when(whole(_SECRET), F.concat(head, _letters(F.substring(match, F.length(head) + 1, F.length(match)), key, "secret")))
+        .when(match.contains("@"), F.concat(_letters(name, key, "email"), F.substring(match, F.length(name) + 1, F.length(match))))
         .when(whole(_ADDRESS), _address(match, key))
+        .when(whole(_ADDRESS6), _address6(match, key))
         .when(whole(_DATE), _date(match, key))
         .when(whole(_SSN), _ssn(match, key))
-        .when(whole(_CARD), _cards(match, key))
         .when(whole(_PHONE), _phone(match, key))
+        .when(whole(_CARD), _cards(match, key))
         .otherwise(match)
     )
 
@@ -235,18 +311,21 @@ def pseudonym(match: Column, key: str) -> Column:
 def pseudonymised(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     """``docs`` with pseudonyms in ``column`` and ``n_found``, how many places were looked at.
 
-    All other columns stay as they are. A null text stays null with ``n_found`` 0. A text of any
-    length is read whole; one that holds nothing ``FOUND`` can't do without isn't searched.
+    All other columns stay as they are, whatever their names, but an ``n_found`` there was before goes. A null text stays null
+    with ``n_found`` 0. A text of any length is read whole; one that holds nothing ``FOUND`` can't do without isn't searched. Rows are
+    changed one by one, so repeated rows stay alike, and an empty table stays empty.
     """
-    text = F.col(column)
-    likely = text.rlike("[0-9@=:]|AKIA")
+    names = [c for c in docs.columns if c != "n_found"]
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    text = F.col(f"c{names.index(column)}")
+    likely = text.rlike("[0-9@=:]|AKIA|sk-|gh[pousr]_|(?i:bearer )")
     found = F.when(likely, F.regexp_extract_all(text, F.lit(FOUND), F.lit(0)))
-    matches = docs.withColumn("__found", F.coalesce(found, F.array().cast("array<string>")))
+    matches = inner.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
     pieces = F.split(text, FOUND, -1)
-    new = F.concat(F.transform(F.col("__found"), lambda m: pseudonym(m, key)), F.array(F.lit("")))
+    new = F.concat(F.transform(F.col("found"), lambda m: pseudonym(m, key)), F.array(F.lit("")))
     joined = F.array_join(F.zip_with(pieces, new, lambda a, b: F.concat(a, b)), "")
-    return (
-        matches.withColumn(column, F.when(F.size("__found") > 0, joined).otherwise(text))
-        .withColumn("n_found", F.size("__found"))
-        .drop("__found")
+    after = F.when(F.size("found") > 0, joined).otherwise(text)
+    made = matches.select(*inner.columns, after.alias("after"), F.size("found").alias("size"))
+    return made.select(
+        *[F.col("after" if name == column else f"c{i}").alias(name) for i, name in enumerate(names)], F.col("size").alias("n_found")
     )
