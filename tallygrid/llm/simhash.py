@@ -261,11 +261,17 @@ def linked(distinct: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> D
 def survivors(docs: DataFrame, scratch: Scratch | None = None, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one document of each group: that of the smallest doc_id (nulls first; then by a hash of the text).
 
-    Of rows equal in doc_id and text one stays. All columns stay as they are.
+    Of rows equal in doc_id and text one stays, the one whose columns have the smallest hash. All columns stay as they are, whatever their
+    names. Null texts and texts without words are one group. An empty table stays empty.
     """
     scratch = scratch or Scratch(docs.sparkSession, "simhash")
-    key = F.xxhash64("doc_id", "text")
-    narrow = docs.select(F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key")).alias("doc_id"), "text")
+    names = docs.columns
+    # Names of our own, so that none of the caller's can clash with those used here.
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    own = inner.columns
+    id_column, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
+    keyed = inner.withColumns({"doc": F.col(id_column).cast("bigint"), "key": F.xxhash64(id_column, text)})
+    narrow = keyed.select(F.struct(F.col("doc").alias("doc_id"), "key").alias("doc_id"), F.col(text).alias("text"))
     signed = scratch.keep(fingerprints(narrow, shingle).select("doc_id.*", "fingerprint"), "signed-rows")
     distinct = scratch.keep(signed.select("fingerprint").distinct(), "distinct")
     groups = scratch.keep(linked(distinct, scratch, distance), "groups")
@@ -273,20 +279,21 @@ def survivors(docs: DataFrame, scratch: Scratch | None = None, shingle: int = SH
         signed.join(groups, "fingerprint")
         .groupBy("component")
         .agg(F.min(F.struct("doc_id", "key")).alias("first"))
-        .select(F.col("first.doc_id").alias("__doc"), F.col("first.key").alias("__key"))
+        .select(F.col("first.doc_id").alias("kept_doc"), F.col("first.key").alias("kept_key"))
     )
-    times = signed.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(F.count("*").alias("__times"))
     kept = scratch.keep(kept, "kept")
-    repeated = scratch.keep(times.where("__times > 1").select("__key", "__doc"), "repeated")
-    own = docs.withColumn("__key", key)
-    found = own.join(kept.withColumnRenamed("__key", "__k"), (F.col("__key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__doc")), "left_semi")
+    times = signed.groupBy(F.col("doc_id").alias("kept_doc"), F.col("key").alias("kept_key")).agg(F.count("*").alias("times"))
+    repeated = scratch.keep(times.where("times > 1").drop("times"), "repeated")
+    match = (F.col("key") == F.col("kept_key")) & F.col("doc").eqNullSafe(F.col("kept_doc"))
+    found = keyed.join(kept, match, "left_semi")
+    restored = [F.col(c).alias(name) for c, name in zip(own, names, strict=True)]
     if repeated.isEmpty():
-        return found.drop("__key")
-    again = repeated.select(F.col("__key").alias("__k"), "__doc")
-    match = (F.col("__key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
-    single = found.join(again, match, "left_anti")
-    double = found.join(again, match, "left_semi").dropDuplicates(["doc_id", "__key"])
-    return single.unionByName(double).drop("__key")
+        return found.select(*restored)
+    single = found.join(repeated, match, "left_anti")
+    double = found.join(repeated, match, "left_semi").withColumn("order", F.xxhash64(*own))
+    least = double.groupBy("key", "doc").agg(F.min("order").alias("least")).select(F.col("key").alias("k"), F.col("doc").alias("d"), "least")
+    first = double.join(least, (F.col("key") == F.col("k")) & F.col("doc").eqNullSafe(F.col("d")) & (F.col("order") == F.col("least")), "left_semi")
+    return single.select(*restored).unionByName(first.dropDuplicates(["key", "doc"]).select(*restored))
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
