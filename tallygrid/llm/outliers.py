@@ -35,6 +35,8 @@ LEAST = 50
 BINS_PER_OCTAVE = 8
 #: Group estimates are broadcast up to this many (some 0.6 KB each); beyond it they are joined by key.
 BROADCAST_GROUPS = 10_000
+#: Keys of rejected rows, of 16 bytes, are broadcast up to this many; beyond it they are joined by shuffling.
+BROADCAST_ROWS = 400_000
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -245,18 +247,19 @@ def with_verdict(counted: DataFrame, estimates: DataFrame, cut: float = CUT) ->
     or of none seen in fitting, is judged by the pooled estimate.
     """
     own = estimates.where(F.col("group").isNotNull() & (F.col("n") >= LEAST))
-    pooled = estimates.where(F.col("group").isNull()).select(F.col("centre").alias("c"), F.col("precision").alias("p"))
-    rest = F.broadcast(pooled)  # one row
+    # One row at most, read as a constant.
+    pooled = estimates.where(F.col("group").isNull()).agg(F.max("centre").alias("c"), F.max("precision").alias("p"))
+    pooled = pooled.select(F.struct("c", "p")).scalar()
     joined = (
         counted.withColumn("group", _group())
         .join(_small(own.select("group", "centre", "precision")), "group", "left")
-        .join(rest, F.lit(True), "left")
-        .withColumn("centre", F.coalesce("centre", "c"))
-        .withColumn("precision", F.coalesce("precision", "p"))
+        .withColumn("pooled", pooled)
+        .withColumn("centre", F.coalesce("centre", "pooled.c"))
+        .withColumn("precision", F.coalesce("precision", "pooled.p"))
         .withColumn("distance", _distance(_vector(F.col("counts"))))
     )
     verdict = ~base_failed() & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cut)
-    return joined.withColumn("kept", verdict).drop("group", "centre", "precision", "c", "p")
+    return joined.withColumn("kept", verdict).drop("group", "centre", "precision", "pooled")
 
 
 def judged(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
@@ -269,10 +272,16 @@ def judged(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
 
 
 def filtered(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """``docs`` without the rejected ones, all columns as they are."""
+    """``docs`` without the rejected ones, all columns as they are, whatever their names.
+
+    Texts are counted once: the counts are kept under a hash of the row's language, source and text, on which the verdict depends alone.
+    """
     scratch = scratch or Scratch(docs.sparkSession, "outliers")
-    narrow = docs.select("lang", "source", "text")
+    own = [F.col(c).cast("string") for c in ("lang", "source", "text")]
+    key = [F.xxhash64(F.lit(1), *own).alias("key_1"), F.xxhash64(F.lit(2), *own).alias("key_2")]
+    narrow = docs.select(*key, *[c.alias(n) for c, n in zip(own, ("lang", "source", "text"), strict=True)])
     counted = scratch.keep(with_counts(narrow).drop("text"), "counts")
-    estimates = fit(counted, scratch)
-    inner = docs.select(F.struct("*").alias("row"), "lang", "source", "text")
-    return with_verdict(with_counts(inner), estimates).where("kept").select("row.*")
+    rejected = with_verdict(counted, fit(counted, scratch)).where("NOT kept").select("key_1", "key_2").distinct()
+    rejected = scratch.keep(rejected, "rejected")
+    gone = F.broadcast(rejected) if rejected.count() <= BROADCAST_ROWS else rejected
+    return docs.select(F.struct("*").alias("row"), *key).join(gone, ["key_1", "key_2"], "left_anti").select("row.*")
