@@ -259,7 +259,10 @@ def write_corpus(docs: DataFrame, tokenizer: str, end_id: int = 0, scratch: Scra
     placed = staged.join(F.broadcast(small_table(spark, bases, "part int, base bigint")), "part").select(
         "part", "block", (F.col("base") + F.col("before")).alias("start"), "doc_ids", "lengths", "ids"
     )
-    scratch.keep(placed.mapInArrow(encode, "part int, block int, payload binary"), "blocks")
+    # Files in the order of their names hold the blocks in the order of doc_id.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = placed.repartitionByRange(parts, "part", "block").sortWithinPartitions("part", "block")
+    scratch.keep(ordered.mapInArrow(encode, "part int, block int, payload binary"), "blocks")
     scratch.drop("staged")
     return scratch.folder
 
