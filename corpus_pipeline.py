@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import warnings
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from tallygrid.llm import lines, outliers, packing, pii, simhash
 from tallygrid.llm.storage import Scratch
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-#: Stands for a secret; set CORPUS_KEY to your own.
+#: The secret of the pseudonyms. Without CORPUS_KEY a fixed one is used, which is known to anyone and said aloud.
 KEY = os.environ.get("CORPUS_KEY", "key of the registered query")
 
 
@@ -38,6 +39,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes pseudonyms; all documents stay."""
+    if "CORPUS_KEY" not in os.environ:
+        warnings.warn("CORPUS_KEY is not set: pseudonyms are made with a key that anyone can look up", stacklevel=2)
     return _measured(pii.pseudonymised(docs, KEY), docs.columns)
 
 

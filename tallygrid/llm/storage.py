@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (local sessions), one made for this session."""
+    """The folder of spark.checkpoint.dir; where that is unset, one made for this session if it is a local one.
+
+    On a cluster the executors couldn't share such a folder, so there it has to be set.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         held = spark.sparkContext.getCheckpointDir()
         if held is None:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallygrid-"))
             held = spark.sparkContext.getCheckpointDir()
         folder = held
