@@ -1,15 +1,17 @@
 """Quality rules: robust multivariate outliers among documents of one language and source.
 
-Each document becomes a vector of transformed statistics. Per (lang, source) a minimum covariance
-determinant estimate is found by concentration steps: distances of all the group's documents under
-the current centre and covariance, the ``COVERED`` share with the smallest ones kept, both estimated
-anew from those. All groups step together; sums are taken by partial aggregation, so that no group
-meets in one task however large, and only moments and histograms of groups move.
+Each document becomes a vector of transformed statistics. Per (lang, source) the minimum covariance determinant is searched
+from ``STARTS`` starts: mean and covariance; median and median deviations; mean and covariance of values drawn in to where most
+lie. From each, concentration steps are taken: distances of all the group's documents under the current centre and
+covariance, the ``COVERED`` share with the smallest ones kept, both estimated anew from those, until the determinant falls no more.
+The start that reaches the least determinant counts. All groups and starts step together; sums are taken by partial aggregation, so
+that no group meets in one task however large, and only moments, histograms and quantile sketches of groups move.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,14 @@ from tallygrid.llm.text import SPACE, Texts, mixed, slices, span_hashes, word_sp
 
 WINDOW = 8
 COVERED = 0.75
-STEPS = 4
+STARTS = 3
+#: Steps at most, and by how much a step has to lower the logarithm of the determinant for another one.
+MOST_STEPS = 20
+SETTLED = 1e-3
+#: Values further from the median than this many deviations are drawn in by the third start.
+DRAWN_IN = 2.5
+#: Accuracy of the medians of the starts.
+QUANTILE = 1000
 #: Makes the covariance of the covered share consistent for normal data of seven dimensions:
 #: 0.75 / P(chi-square of 9 <= 75 % quantile of chi-square of 7).
 CONSISTENT = 1.32
@@ -32,7 +41,8 @@ FLOORS = (0.25, 0.06, 0.06, 0.25, 0.25, 0.05, 0.04)
 CUT = 33.0
 #: Groups with fewer documents are judged by the estimate pooled over all groups.
 LEAST = 50
-BINS_PER_OCTAVE = 8
+#: The covered share is exact but for documents in one bin of distances.
+BINS_PER_OCTAVE = 64
 #: Group estimates are broadcast up to this many (some 0.6 KB each); beyond it they are joined by key.
 BROADCAST_GROUPS = 10_000
 #: Keys of rejected rows, of 16 bytes, are broadcast up to this many; beyond it they are joined by shuffling.
@@ -150,7 +160,7 @@ def _group() -> Column:
 
 _X = [f"x{i}" for i in range(len(STATISTICS))]
 _PAIRS = [(i, j) for i in range(len(_X)) for j in range(i, len(_X))]
-_ESTIMATE = "group string, n bigint, centre array<double>, precision array<double>"
+_ESTIMATE = "group string, n bigint, centre array<double>, precision array<double>, log_det double"
 
 
 def _moments(rows: DataFrame, *keys: str) -> DataFrame:
@@ -181,8 +191,9 @@ def _estimates(moments: DataFrame, factor: float) -> DataFrame:
                     batch.column(1),
                     pa.array(list(centre), pa.list_(pa.float64())),
                     pa.array(list(inverse), pa.list_(pa.float64())),
+                    pa.array(np.linalg.slogdet(spread)[1]),
                 ],
-                ["group", "n", "centre", "precision"],
+                ["group", "n", "centre", "precision", "log_det"],
             )
 
     return moments.mapInArrow(invert, _ESTIMATE)
@@ -210,25 +221,68 @@ def fit(counted: DataFrame, scratch: Scratch) -> DataFrame:
         counted.where(~base_failed()).select(_group().alias("group"), *[x.alias(n) for n, x in zip(_X, _vector(F.col("counts")), strict=True)]),
         "vectors",
     )
-    found = scratch.keep(_estimates(_moments(rows, "group"), 1.0), "estimate-0")
-    for step in range(1, STEPS + 1):
-        near = _attached(rows, found).select(
-            "group", *_X, F.floor(BINS_PER_OCTAVE * F.log2(_distance([F.col(x) for x in _X]) + 1e-9)).alias("bin")
-        )
-        histogram = near.groupBy("group", "bin").agg(F.count("*").alias("n"))
-        order = Window.partitionBy("group").orderBy("bin")
-        reached = histogram.select(
-            "group", "bin", F.sum("n").over(order).alias("upto"), F.sum("n").over(Window.partitionBy("group")).alias("all")
-        )
-        last = reached.where(F.col("upto") >= COVERED * F.col("all")).groupBy("group").agg(F.min("bin").alias("last"))
-        last = scratch.keep(last, f"bins-{step}")
-        covered = near.join(_small(last), "group").where("bin <= last")
-        moments = scratch.keep(_moments(covered, "group"), f"moments-{step}")
-        if step == STEPS:
-            pooled = moments.agg(F.lit(None).cast("string").alias("group"), *[F.sum(c).alias(c) for c in moments.columns[1:]]).where("n > 0")
-            moments = moments.unionByName(pooled)
-        found = scratch.keep(_estimates(moments, CONSISTENT), f"estimate-{step}")
-    return found
+    active, done, step = scratch.keep(_starts(rows, scratch), "estimate-0"), [], 0
+    while step < MOST_STEPS and not active.isEmpty():
+        step += 1
+        after = _estimates(_covered(rows, active, scratch, str(step)), CONSISTENT)
+        before = active.select("group", F.col("log_det").alias("before"))
+        after = scratch.keep(after.join(_small(before), "group").withColumn("falls", F.col("log_det") < F.col("before") - SETTLED), f"estimate-{step}")
+        active = after.where("falls").drop("before", "falls")
+        # The last step may have gone up a little, by what a bin holds.
+        done.append(after.where("NOT falls").drop("before", "falls"))
+    done.append(active)
+    found = reduce(DataFrame.unionByName, done)
+    start, group = F.substring("group", 1, 1), F.expr("substring(group, 3)")
+    best = found.select(group.alias("group"), F.struct("log_det", start.alias("start"), "n", "centre", "precision").alias("e"))
+    best = scratch.keep(best.groupBy("group").agg(F.min("e").alias("e")).select(F.concat(F.lit("0|"), "group").alias("group"), "e.n", "e.centre", "e.precision"), "best")
+    moments = scratch.keep(_covered(rows, best, scratch, "last", starts=1), "moments")
+    pooled = moments.agg(F.lit(None).cast("string").alias("group"), *[F.sum(c).alias(c) for c in moments.columns[1:]]).where("n > 0")
+    named = moments.withColumn("group", group)
+    return scratch.keep(_estimates(named.unionByName(pooled), CONSISTENT), "estimates")
+
+
+def _starts(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Estimates that the search begins with, the number of the start before each group's name."""
+    medians = rows.groupBy("group").agg(*[F.percentile_approx(x, 0.5, QUANTILE).alias(f"m{i}") for i, x in enumerate(_X)])
+    medians = scratch.keep(medians, "medians")
+    off = rows.join(_small(medians), "group")
+    deviations = off.groupBy("group").agg(
+        F.count("*").alias("n"),
+        *[F.first(f"m{i}").alias(f"m{i}") for i in range(len(_X))],
+        *[(1.4826 * F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, QUANTILE)).alias(f"d{i}") for i, x in enumerate(_X)],
+    )
+    deviations = scratch.keep(deviations, "deviations")
+    spread = [F.greatest(F.col(f"d{i}"), F.lit(floor)) for i, floor in enumerate(FLOORS)]
+    diagonal = [1 / (F.col(f"d{i}") * F.col(f"d{i}") + floor**2) if i == j else F.lit(0.0) for i, floor in enumerate(FLOORS) for j in range(len(_X))]
+    plain = deviations.select(
+        F.concat(F.lit("1|"), "group").alias("group"),
+        "n",
+        F.array(*[F.col(f"m{i}").cast("double") for i in range(len(_X))]).alias("centre"),
+        F.array(*diagonal).alias("precision"),
+        F.lit(float("inf")).alias("log_det"),
+    )
+    near = rows.join(_small(deviations.drop("n")), "group")
+    drawn = [F.least(F.greatest(F.col(x), F.col(f"m{i}") - DRAWN_IN * s), F.col(f"m{i}") + DRAWN_IN * s).alias(x) for i, (x, s) in enumerate(zip(_X, spread, strict=True))]
+    both = rows.withColumn("group", F.concat(F.lit("0|"), "group")).unionByName(near.select(F.concat(F.lit("2|"), "group").alias("group"), *drawn))
+    made = _estimates(_moments(both, "group"), 1.0).withColumn("log_det", F.lit(float("inf")))
+    return made.unionByName(plain)
+
+
+def _covered(rows: DataFrame, estimates: DataFrame, scratch: Scratch, step: str, starts: int = STARTS) -> DataFrame:
+    """Moments of the ``COVERED`` share of each group's documents that lies nearest under each of its estimates."""
+    each = F.explode(F.array(*[F.lit(str(i)) for i in range(starts)]))
+    own = rows.select("group", *_X, each.alias("start")).withColumn("group", F.concat("start", F.lit("|"), "group")).drop("start")
+    near = own.join(_small(estimates.select("group", "centre", "precision")), "group").select(
+        "group", *_X, F.floor(BINS_PER_OCTAVE * F.log2(_distance([F.col(x) for x in _X]) + 1e-9)).alias("bin")
+    )
+    histogram = near.groupBy("group", "bin").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("group").orderBy("bin")
+    reached = histogram.select(
+        "group", "bin", F.sum("n").over(order).alias("upto"), F.sum("n").over(Window.partitionBy("group")).alias("all")
+    )
+    last = reached.where(F.col("upto") >= COVERED * F.col("all")).groupBy("group").agg(F.min("bin").alias("last"))
+    last = scratch.keep(last, f"bins-{step}")
+    return _moments(near.join(_small(last), "group").where("bin <= last"), "group")
 
 
 def _small(groups: DataFrame) -> DataFrame:
@@ -236,10 +290,6 @@ def _small(groups: DataFrame) -> DataFrame:
     return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
 
 
-def _attached(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    return rows.join(_small(estimates.select("group", "centre", "precision")), "group", "left")
-
-
 def with_verdict(counted: DataFrame, estimates: DataFrame, cut: float = CUT) -> DataFrame:
     """Adds ``distance`` (squared; null where nothing could be estimated) and ``kept``.
 

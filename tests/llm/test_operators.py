@@ -270,6 +270,50 @@ def test_outlier_stands_out(spark):
     assert all(kept.values())
 
 
+def least_determinant(x, share, rng):
+    """The best of very many random starts, each with steps until nothing changes."""
+    n = int(np.ceil(share * len(x)))
+    best = np.inf
+    for _ in range(300):
+        own = rng.choice(len(x), 9, replace=False)
+        for _ in range(60):
+            spread = np.cov(x[own].T, bias=True) * outliers.CONSISTENT + np.diag(np.square(outliers.FLOORS))
+            off = x - x[own].mean(0)
+            after = np.argsort(np.einsum("ij,jk,ik->i", off, np.linalg.inv(spread), off), kind="stable")[:n]
+            if set(after.tolist()) == set(own.tolist()):
+                break
+            own = after
+        best = min(best, np.linalg.slogdet(np.cov(x[own].T, bias=True) * outliers.CONSISTENT + np.diag(np.square(outliers.FLOORS)))[1])
+    return best
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.24])
+def test_least_determinant_is_found(spark, share):
+    """Against numpy, with outliers that lie together, on counts made up here; the third of them in a group of their own."""
+    rng = np.random.default_rng(17)
+    n = 300
+    far = np.arange(n) < share * n
+    n_words = np.where(far, rng.integers(2000, 2200, n), rng.integers(60, 400, n))
+    chars = (n_words * rng.normal(5, 0.3, n)).astype(int)
+    symbols = np.where(far, chars // 4, rng.integers(0, 3, n))
+    marks = symbols + rng.integers(5, 30, n)
+    capitals = rng.integers(3, 40, n)
+    rows = [
+        ("en", "ab"[i % 2], tuple(int(v) for v in (n_words[i], chars[i], symbols[i], 0, 0, capitals[i], marks[i], 10))) for i in range(n)
+    ]
+    schema = f"lang string, source string, counts struct<{outliers.OWN.replace(' bigint', ': bigint')}>"
+    counted = spark.createDataFrame(rows, schema)
+    estimates = {r.group: r for r in outliers.fit(counted, Scratch(spark, "mcd")).collect()}
+    assert set(estimates) == {'{"lang":"en","source":"a"}', '{"lang":"en","source":"b"}', None}
+    judged = outliers.with_verdict(counted, spark.createDataFrame(list(estimates.values()))).collect()
+    assert {bool(r.kept) for r, f in zip(judged, far, strict=True) if f} <= {False}
+    assert np.mean([r.kept for r, f in zip(judged, far, strict=True) if not f]) > 0.98
+    vectors = np.array(counted.select(F.array(*outliers._vector(F.col("counts")))).toPandas().iloc[:, 0].tolist())
+    for k, name in enumerate("ab"):
+        found = estimates[f'{{"lang":"en","source":"{name}"}}'].log_det
+        assert found <= least_determinant(vectors[k::2], outliers.COVERED, rng) + 0.15
+
+
 def test_brown_scores(spark, docs):
     rows = [(d, words((t or "").translate(LOWER))) for d, t in rows_of(docs)]
     out = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
