@@ -229,6 +229,24 @@ def test_allowed_edits_are_whole(spark):
     assert [(r.near, r.alike) for r in found] == [(True, True), (False, True), (True, True), (True, True), (False, False)]
 
 
+def test_edits_bit_parallel():
+    rng = np.random.default_rng(21)
+    for _ in range(400):
+        a = "".join(rng.choice(list("abé日 "), rng.integers(0, 90)))
+        b = list(a)
+        for _ in range(rng.integers(0, 20)):
+            at = int(rng.integers(0, len(b) + 1))
+            b[at : at + int(rng.integers(0, 2))] = rng.choice(["", "x", "a"])
+        b = "".join(b) if rng.random() < 0.8 else "".join(rng.choice(list("abé日 "), rng.integers(0, 90)))
+        true = edits(a, b)
+        for most in (0, 1, true - 1, true, true + 1, 50):
+            assert lines.within(a, b, most) == (true <= most)
+            assert lines.within(b, a, most) == (true <= most)
+    long = "".join(rng.choice(list("abcdefgh "), 60_000))
+    assert lines.within(long, "z" + long[:-1], 2)
+    assert not lines.within(long, "".join(rng.choice(list("abcdefgh "), 60_000)), 12_000)
+
+
 def test_lines_without_blanks(spark):
     long, tabbed = "这是一个没有任何空格的很长的句子用来测试重复行的删除", "a\tb\tc\td\te"
     rows = [(1, long), (2, long), (3, tabbed), (4, tabbed)]
