@@ -36,7 +36,7 @@ FILTER_BITS = 1 << 26
 REPAIRED = 96
 UNSURE = 4
 #: Documents that a task remembers as sent, so that rows equal in id and text are sent once.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 
 def cuts(texts: Texts) -> np.ndarray:
@@ -267,6 +267,12 @@ def encoded(docs: DataFrame, tokenizer: str, scratch: Scratch | None = None) ->
     borrowed = pieces.where("ids IS NULL").select("k1", "k2", "doc_id", "nth", "a", "b").join(pool, ["a", "b"])
     columns = ["k1", "k2", "doc_id", "nth", "wide", "ids"]
     ready = pieces.where("ids IS NOT NULL").select(*columns).unionByName(borrowed.select(*columns))
+    # How often a document occurs, before its first piece.
+    times = keyed.groupBy("k1", "k2", "doc_id").agg(F.count("*").alias("times")).where("times > 1")
+    counts = times.select(
+        "k1", "k2", "doc_id", F.lit(-1).alias("nth"), F.lit(False).alias("wide"), F.col("times").cast("string").cast("binary").alias("ids")
+    )
+    ready = ready.unionByName(counts)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
@@ -275,29 +281,29 @@ def encoded(docs: DataFrame, tokenizer: str, scratch: Scratch | None = None) ->
 
         def flushed() -> pa.RecordBatch:
             bounds = np.concatenate(([0], np.cumsum([len(x) for x in out], dtype=np.int64)))
-            keys = [pa.array([n[i] for n in names], kind) for i, kind in ((0, pa.int64()), (1, pa.int32()))]
-            made = _finished(pa.array([n[2] for n in names], pa.int64()), np.concatenate(out), bounds, decode)
-            return pa.RecordBatch.from_arrays([*keys, *made.columns], ["k1", "k2", *made.schema.names])
+            return _finished(pa.array(names, pa.int64()), np.concatenate(out), bounds, decode)
 
         rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns], strict=True))
-        for name, own in groupby(rows, lambda row: row[:3]):
+        for (_, _, doc_id), own in groupby(rows, lambda row: row[:3]):
             # Several tasks may have sent the same document.
-            held = {row[3]: np.frombuffer(row[5], "<u4" if row[4] else "<u2").astype(np.int32) for row in own}
-            names.append(name)
-            out.append(repaired([held[n] for n in sorted(held)], encode, decode))
-            size += len(out[-1])
-            if size > 1 << 19:
-                yield flushed()
-                names, out, size = [], [], 0
+            held = {row[3]: (row[4], row[5]) for row in own}
+            times = int(held.pop(-1)[1]) if -1 in held else 1
+            if not held:
+                continue  # repeated, but encoded in place
+            parts = [np.frombuffer(held[n][1], "<u4" if held[n][0] else "<u2").astype(np.int32) for n in sorted(held)]
+            ids = repaired(parts, encode, decode)
+            for _ in range(times):
+                names.append(doc_id)
+                out.append(ids)
+                size += len(ids)
+                if size > 1 << 19:
+                    yield flushed()
+                    names, out, size = [], [], 0
         if names:
             yield flushed()
 
     whole = ready.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "doc_id", "nth")
-    made = whole.mapInArrow(assemble, f"k1 bigint, k2 int, {_ENCODED}")
-    times = keyed.groupBy("k1", "k2").agg(F.count("*").alias("times")).where("times > 1")
-    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("times", F.lit(1).cast("bigint"))))
-    made = made.join(times, ["k1", "k2"], "left").select("doc_id", "n_tokens", "ids", "text", again.alias("nth")).drop("nth")
-    return _in_place(keyed, tokenizer, bits).unionByName(made)
+    return _in_place(keyed, tokenizer, bits).unionByName(whole.mapInArrow(assemble, _ENCODED))
 
 
 def _word_starts(words: list, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
