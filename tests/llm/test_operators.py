@@ -630,3 +630,21 @@ def test_nearest_beside_a_very_large_vector(spark):
         score[q] = -np.inf
         hit += len(found[q] & set(np.argsort(-score)[:20].tolist()))
     assert hit >= 0.9 * 20 * 15
+
+def test_long_documents_train_too(spark):
+    """All labelled documents are long."""
+    rng = np.random.default_rng(4)
+    plain = [f"word{i}" for i in range(60)]
+    rows, marks = [], []
+    for i in range(500):
+        toxic = i % 2
+        own = rng.choice(plain, 2100)
+        if toxic:
+            own[rng.integers(0, 2100, 60)] = "vile"
+        rows.append((i, " ".join(own), "en"))
+        marks.append((i, toxic))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    classifier = toxicity.fit(frame, spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+    assert np.abs(classifier.model.embedding).max() > 0
+    found = {r.doc_id: r.score >= 0.5 for r in toxicity.scored(frame, classifier).collect()}
+    assert np.mean([found[i] == bool(t) for i, t in marks]) > 0.8
