@@ -59,5 +59,6 @@ def keys_and_incidents(source: DataFrame, spec: ControlSpec, span: DateSpan, as_
     # True for every row, which the optimizer can't know: a use of all columns on both sides.
     reduced = reduced.where(F.pmod(F.xxhash64(*reduced.columns), F.lit(2)) >= 0)
     keys = keys_of_details(reduced.select("metric_detail", *flags.values()), spec.control, spec.grid.metrics, flags)
-    found = reduced.where(F.col("control_date").isNotNull() & F.col("metric_detail").isNotNull())
-    return keys, found.select(F.inline(F.array(*slots))).where("hits > 0")
+    # Days and details are tested behind the unfolding: a test before it would go down to the scan and make it another one than
+    # that of the keys.
+    return keys, reduced.select(F.inline(F.array(*slots))).where("hits > 0 AND control_date IS NOT NULL AND metric_detail IS NOT NULL")

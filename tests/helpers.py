@@ -26,3 +26,18 @@ def series(df: DataFrame, column: str = "control_count") -> dict[tuple, list]:
 
 def plan_text(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df: DataFrame) -> str:
+    """What a collected frame ran at last, its subqueries included: the plan without the initial ones."""
+    kept, skipped = [], None
+    for line in plan_text(df).splitlines():
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if skipped is not None and indent >= skipped:
+            continue
+        skipped = None
+        if "== Initial Plan ==" in line:
+            skipped = indent
+            continue
+        kept.append(line)
+    return "\n".join(kept)
