@@ -29,6 +29,9 @@ from tallygrid.llm.tokens import Encoder, encoder, unit_starts
 WINDOW = 24
 MEAN_CHUNK = 512
 LEAST_CHUNK = 64
+#: Bytes that are hashed, and bytes of texts that are worked on, at once; a longer text makes a slice of its own.
+BLOCK = 1 << 20
+SLICE = 1 << 20
 #: Bits of the filter that stands for the names of shared chunks in every task. A chunk that it takes for shared by mistake
 #: is sent alone for nothing, no more.
 FILTER_BITS = 1 << 26
@@ -39,20 +42,29 @@ UNSURE = 4
 REMEMBERED = 200_000
 
 
+def _rolled(noise: np.ndarray) -> np.ndarray:
+    """Hashes of ``WINDOW`` bytes from each on: those of 2, 4, 8 and 16 bytes are made of two of half the length, then of 16 + 8."""
+    size, eight = 1, noise
+    while size < 16:
+        noise = (noise[: len(noise) - size] << np.uint64(size)) + noise[size:]
+        size *= 2
+        if size == 8:
+            eight = noise
+    n = len(eight) + 8 - WINDOW
+    return (noise[:n] << np.uint64(8)) + eight[16 : 16 + n]
+
+
 def cuts(texts: Texts) -> np.ndarray:
     """Places inside texts where a chunk begins: by the hash of the bytes before, never inside a character."""
     data = texts.data
     if len(data) <= WINDOW:
         return np.zeros(0, np.int64)
-    noise = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64)[data]
-    # Hashes of 1, 2, 4, 8 and 16 bytes, each from two of half the length; then of 16 + 8.
-    by_length, size = {1: noise}, 1
-    while size < 16:
-        half = by_length[size]
-        by_length[2 * size] = (half[: len(half) - size] << np.uint64(size)) + half[size:]
-        size *= 2
-    rolled = (by_length[16][: len(data) - WINDOW + 1] << np.uint64(8)) + by_length[8][16:]
-    at = np.flatnonzero((mixed(rolled) & np.uint64(MEAN_CHUNK - 1)) == 0) + WINDOW
+    noise = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64)
+    found = []
+    for begin in range(0, len(data) - WINDOW + 1, BLOCK):
+        rolled = _rolled(noise[data[begin : begin + BLOCK + WINDOW - 1]])
+        found.append(np.flatnonzero((mixed(rolled) & np.uint64(MEAN_CHUNK - 1)) == 0) + begin + WINDOW)
+    at = np.concatenate(found)
     at = at[at < len(data)]
     at = at[(data[at] & 0xC0) != 0x80]
     of = np.searchsorted(texts.bounds, at, "right") - 1
@@ -103,7 +115,7 @@ def shared_filter(keyed: DataFrame, tokenizer: str) -> np.ndarray:
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         special = encoder(tokenizer).special
         for batch in batches:
-            for texts in slices(batch.column(0)):
+            for texts in slices(batch.column(0), SLICE):
                 starts, ends, of = chunks(texts)
                 plain = _plain(texts, special)[of]
                 a, b = _two_hashes(texts.data, starts[plain], ends[plain])
@@ -148,7 +160,7 @@ def _pieces(keyed: DataFrame, tokenizer: str, bits: np.ndarray) -> DataFrame:
         sent: set[tuple[int, int]] = set()
         given: set[tuple[int, int]] = set()
         for batch in batches:
-            for texts in slices(batch.column(3)):
+            for texts in slices(batch.column(3), SLICE):
                 starts, ends, of, a, b, shared = _looked_up(texts, encode, bits)
                 keys = list(zip(batch.column(0).slice(texts.first, len(texts)).to_pylist(), batch.column(1).slice(texts.first, len(texts)).to_pylist(), strict=True))
                 borrows = np.zeros(len(texts), bool)
@@ -226,7 +238,7 @@ def _in_place(keyed: DataFrame, tokenizer: str, bits: np.ndarray) -> DataFrame:
         encode = encoder(tokenizer)
         decode = _Decoder(encode)
         for batch in batches:
-            for texts in slices(batch.column(1)):
+            for texts in slices(batch.column(1), SLICE):
                 _, _, of, _, _, shared = _looked_up(texts, encode, bits)
                 alone = np.ones(len(texts), bool)
                 alone[of[shared]] = False
@@ -256,7 +268,7 @@ def encoded(docs: DataFrame, tokenizer: str, scratch: Scratch | None = None) ->
     def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
-            for texts in slices(batch.column(2)):
+            for texts in slices(batch.column(2), SLICE):
                 ids, bounds = encode.encode(texts)
                 own = [batch.column(i).slice(texts.first, len(texts)) for i in (0, 1)]
                 wide = np.full(len(texts), len(ids) > 0 and int(ids.max()) >= 1 << 16)
