@@ -25,8 +25,8 @@ WINDOW = 8
 COVERED = 0.75
 STARTS = 3
 #: Steps at most, and by how much a step has to lower the logarithm of the determinant for another one.
-MOST_STEPS = 20
-SETTLED = 1e-3
+MOST_STEPS = 12
+SETTLED = 5e-3
 #: Values further from the median than this many deviations are drawn in by the third start.
 DRAWN_IN = 2.5
 #: Accuracy of the medians of the starts.
