@@ -490,8 +490,11 @@ def test_columns_of_any_name_are_carried_along(spark):
     assert sorted(r.doc_id for r in good.collect()) == list(range(5))
 
 
-def test_lines_against_all_pairs(spark):
+@pytest.mark.parametrize("most", [400_000, -1])
+def test_lines_against_all_pairs(spark, monkeypatch, most):
     """Groups and survivors by brute force: exact copies of any length, chains of near lines, nulls, ties and blank lines."""
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", most)
+    monkeypatch.setattr(lines, "BROADCAST_NODES", most)
     rng = np.random.default_rng(12)
     base = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"], 12)) + f" {n}" for n in range(8)]
     texts = []
