@@ -12,10 +12,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.compare import difference, oracle_session
-from tallygrid.llm import divergence, topk, trie
+from tallygrid.llm import brown, divergence, lines, topk, toxicity, trie
 from tallygrid.llm.queries import registry
 from tallygrid.llm.scan import running
 from tallygrid.llm.storage import Scratch
+from tallygrid.llm.text import Texts
 
 TINY = "/root/testdata/sf0.001"
 
@@ -273,3 +274,26 @@ def test_audit_of_nothing(spark):
         ("a", "x", "pair", "y", 0, 1),
         ("a", "y", "pair", "x", 0, 1),
     }
+
+
+def test_toxicity_learns_from_all_labelled_documents(spark, monkeypatch):
+    """The telling words stand only in documents beyond the 5,000 of each label whose hash is smallest."""
+    n = 14000
+    ids = spark.range(n).select("id", F.xxhash64("id", F.lit(11)).alias("order"), toxicity.held_out("id").alias("out")).orderBy("order").collect()
+    met, rows, marks, late = Counter(), [], [], []
+    for r in ids:
+        toxic = r.id % 2
+        met[toxic] += not r.out
+        known = met[toxic] <= 5000
+        own = [f"word{r.id % 13}", "same"] if known else ["vile" if toxic else "mild", f"word{r.id % 13}"]
+        rows.append((r.id, " ".join(own), "en"))
+        marks.append((r.id, toxic))
+        if not known:
+            late.append((r.id, toxic))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    if hasattr(toxicity, "PACK_DOCUMENTS"):
+        monkeypatch.setattr(toxicity, "PACK_DOCUMENTS", 2000)
+    classifier = toxicity.fit(frame, spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+    found = {r.doc_id: r.score >= 0.5 for r in toxicity.scored(frame, classifier).collect()}
+    assert np.mean([found[i] == bool(t) for i, t in late if t]) > 0.95
+    assert classifier.model.embedding[toxicity.word_ids(Texts(np.frombuffer(b"vile", np.uint8), np.array([0, 4]), 0))[0]].any()
