@@ -240,8 +240,9 @@ def train(packs: DataFrame, zeros: int, ones: int, epochs: int = EPOCHS, seed: i
     return _State(state, len(kept)).model(kept)
 
 
-#: Parameters are added up as whole numbers of such parts, so that the order of the packs doesn't matter.
-_PARTS = 1 << 24
+#: Parameters are added up as whole numbers of such parts, so that the order of the packs doesn't matter. The squares that the steps
+#: remember are far smaller than the parameters.
+_PARTS = 1 << 44
 
 
 def _mixed(packs: DataFrame, state: np.ndarray, words: int, place: np.ndarray, epoch: int, seed: int, weigh: tuple[float, float], documents: int) -> np.ndarray:
@@ -256,13 +257,13 @@ def _mixed(packs: DataFrame, state: np.ndarray, words: int, place: np.ndarray, e
             for begin in range(0, len(order), BATCH):
                 at = order[begin : begin + BATCH]
                 own.descend([docs[i] for i in at], labels[at], weight[at])
-            total += np.rint(own.vector() * _PARTS).astype(np.int64) * len(docs)
+            total += np.rint(own.vector() * (len(docs) / documents * _PARTS)).astype(np.int64)
         moved = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(moved), pa.array(total[moved])], ["at", "value"])
 
     sums = packs.mapInArrow(learn, "at bigint, value bigint").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
     out = np.zeros(len(state))
-    out[sums["at"].to_numpy()] = sums["value"].to_numpy() / (_PARTS * documents)
+    out[sums["at"].to_numpy()] = sums["value"].to_numpy() / _PARTS
     return out
 
 
