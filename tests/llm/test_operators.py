@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -247,6 +250,59 @@ def test_edits_bit_parallel():
     assert not lines.within(long, "".join(rng.choice(list("abcdefgh "), 60_000)), 12_000)
 
 
+def test_edits_of_many_pairs_in_step():
+    """The answers of pairs compared in step are those of each pair alone, on both sides of the limit and in any alphabet."""
+    rng = random.Random(17)
+    for letters, sizes, n in (("abcde fgh", (60, 320), 700), ("ab", (65, 70), 200), ("".join(map(chr, range(0x4E00, 0x5200))), (100, 900), 300)):
+        a, b = [], []
+        for _ in range(n):
+            x = [rng.choice(letters) for _ in range(rng.randrange(*sizes))]
+            y = list(x)
+            for _ in range(int(len(x) * rng.choice([0, 0.1, 0.19, 0.2, 0.22, 0.3, 0.6]))):
+                at, kind = rng.randrange(max(1, len(y))), rng.random()
+                y[at : at + (kind < 0.7)] = [rng.choice(letters)] if kind > 0.3 else []
+            if rng.random() < 0.1:
+                y = [rng.choice(letters) for _ in x]
+            if rng.random() < 0.1:
+                y = y[7:] + y[:7]
+            a.append("".join(x))
+            b.append("".join(y))
+        most = [max(len(x), len(y)) * lines.EDITS // 1000 for x, y in zip(a, b, strict=True)]
+        alone = [lines.within(x, y, k) for x, y, k in zip(a, b, most, strict=True)]
+        assert 0 < sum(alone) < n
+        assert lines.within_each(a, b, most).tolist() == alone
+        assert lines.within_each(b, a, most).tolist() == alone
+    assert lines.within_each([], [], []).tolist() == []
+
+
+def test_lines_are_signed_and_met_in_little_memory():
+    """What a worker holds at once doesn't follow the batch or the tile, nor do its results."""
+    rng = random.Random(5)
+    text = pa.array(["\n".join("".join(rng.choices("abcdefg ", k=200)) for _ in range(50)) for _ in range(1000)])
+    tile = 4096
+    nodes, sketch = np.arange(tile), np.zeros(tile, np.int64)
+    sides = np.arange(tile) < 8
+    block = [np.zeros(tile, np.int64), np.zeros(tile, np.int32), np.zeros(tile, np.int32), nodes, np.full(tile, 100), sketch, nodes, sides, ~sides]
+    both = [*block[:7], np.ones(tile, bool), np.ones(tile, bool)]
+    # Of lengths that rule all pairs of different lines out.
+    both[4] = 100 * (2 ** (np.arange(tile) % 20))
+    both[5] = np.where(np.arange(tile) % 2, -1, 0)
+
+    def peak(work, columns, names):
+        tracemalloc.start()
+        found = sum(x.num_rows for x in work(iter([pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)])))
+        most = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        return found, most
+
+    signed, most = peak(lines._sign, [text], ["text"])
+    assert signed == 50_000
+    assert most < 60
+    names = ["bits", "block", "with", "node", "size", "sketch", "component", "left", "right"]
+    assert peak(lines._across, block, names)[0] == 8 * (tile - 8)
+    assert peak(lines._across, both, names)[1] < 40
+
+
 def test_lines_without_blanks(spark):
     long, tabbed = "这是一个没有任何空格的很长的句子用来测试重复行的删除", "a\tb\tc\td\te"
     rows = [(1, long), (2, long), (3, tabbed), (4, tabbed)]
