@@ -6,9 +6,11 @@ import hashlib
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -303,6 +305,74 @@ def test_lines_are_signed_and_met_in_little_memory():
     assert peak(lines._across, both, names)[1] < 40
 
 
+def test_few_unlike_lines_are_candidates():
+    """Lines of the same syllables meet by chance the more often, the more there are; hardly any of them is worth a comparison."""
+    rng = random.Random(9)
+    syllables = "the ing er on tion and re at he ea nd st ent ble ly wh or es th in".split()
+    word = lambda: "".join(rng.choices(syllables, k=rng.randrange(1, 4)))
+    unlike = [" ".join(word() for _ in range(60)) for _ in range(3000)]
+    shares, others = (0.05, 0.1), []
+    for n, line in enumerate(unlike[:600]):
+        others.append("".join(rng.choice("xyz") if rng.random() < shares[n % 2] else c for c in line))
+    batches = list(lines._sign(iter([pa.RecordBatch.from_arrays([pa.array(unlike + others)], ["text"])])))
+    each = [name for name in batches[0].schema.names if name != "keys"]
+    table = pa.Table.from_batches(batches).to_pydict()
+    rows = [(key, *own) for own, keys in zip(zip(*[table[c] for c in each], strict=True), table["keys"], strict=True) for key in keys]
+    columns = [pa.array(c, pa.int64()) for c in zip(*sorted(rows), strict=True)]
+    met = pa.Table.from_batches(list(lines._meet(iter([pa.RecordBatch.from_arrays(columns, ["posted", *each])])))).to_pydict()
+    found = {frozenset(x) for x in zip(met["a"], met["b"], strict=True) if x[1] is not None}
+    near = [{lines._node(x.encode()), lines._node(y.encode())} for x, y in zip(unlike, others, strict=False)]
+    recall = [np.mean([pair in found for pair in near[k::2]]) for k in (0, 1)]
+    print(recall, len(found), len(found - {frozenset(x) for x in near}))
+    assert recall[0] >= 0.95
+    assert recall[1] >= 0.4
+    assert len(found - {frozenset(x) for x in near}) < 500
+
+
+def test_candidates_in_parts(spark, tmp_path, monkeypatch):
+    """All pairs are compared, however many parts they are compared in."""
+    texts = [(n, f"{SENTENCE} {'x' * n}") for n in range(40)] + [(n, f"nothing of that kind {'y' * n}") for n in range(40, 80)]
+    texts = spark.createDataFrame(texts, "node bigint, normal string")
+    pairs = [(a, b) for a in range(80) for b in range(a)]
+    frame = spark.createDataFrame(pairs, "a bigint, b bigint")
+    scratch = Scratch(spark, "parts")
+    once = Counter(map(tuple, lines._compared(frame, texts, 10, scratch).collect()))
+    monkeypatch.setattr(lines, "LEAST_AT_ONCE", 500)
+    scratch = Scratch(spark, "parts")
+    assert Counter(map(tuple, lines._compared(frame, texts, 10, scratch).collect())) == once
+    assert 0 < len(once) < len(pairs)
+    assert (Path(scratch.folder.removeprefix("file:")) / f"links-2-{(len(pairs) - 1) // 500}").is_dir()
+
+
+def test_links_join_components(spark):
+    """Components found in two steps are those of all links at once."""
+    rng = random.Random(4)
+    first, more = ([(rng.randrange(400), rng.randrange(400)) for _ in range(n)] for n in (150, 60))
+    frames = [spark.createDataFrame(x, "a bigint, b bigint") for x in (first, more)]
+    scratch = Scratch(spark, "steps")
+    found = lines._joined(components(frames[0], scratch, "crowds"), frames[1], scratch).collect()
+    whole = components(frames[0].unionByName(frames[1]), scratch, "whole").collect()
+    of = dict(map(tuple, found))
+    assert len(of) == len(found)
+    assert {n: c for n, c in of.items() if n != c} == {r.node: r.component for r in whole if r.node != r.component}
+
+
+def test_nothing_shuffled_outlives_a_stored_table(spark):
+    """Files of shuffles go once their table is stored, and the session's settings are as before."""
+    files = lambda: {f for f in Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]).rglob("shuffle_*")}
+    before, settings = files(), spark.sparkContext.getConf().getAll()
+    kept = Scratch(spark, "shuffled").keep(spark.range(10_000).groupBy((F.col("id") % 97).alias("k")).count(), "counts")
+    assert kept.count() == 97
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    left = {f.name for f in files() - before}
+    assert len({n.split("_")[1] for n in left}) <= 1, left  # of the count() above alone
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert spark.sparkContext.getConf().getAll() == settings
+
+
 def test_lines_without_blanks(spark):
     long, tabbed = "这是一个没有任何空格的很长的句子用来测试重复行的删除", "a\tb\tc\td\te"
     rows = [(1, long), (2, long), (3, tabbed), (4, tabbed)]
